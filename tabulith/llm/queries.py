@@ -19,6 +19,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulith.llm.media import audio_features, store_as_audio
+
+    return audio_features(store_as_audio(table(spark, sf_dir, "documents"), F.col("text"), "doc_id")).withColumnRenamed("key", "doc_id")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabulith.llm.dart_minhash import near_duplicates
 
@@ -48,6 +54,43 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulith.llm.html_extraction import extract
+
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulith.llm.license_scan import scan
+
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("licenses").cast("long").alias("n_licenses"), F.array_min(F.col("matches.first_word")).cast("long").alias("first_word"))
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulith.llm.token_output import SLOTS, read_shards, write_shards
+
+    shards = read_shards(spark, write_shards(table(spark, sf_dir, "documents")))
+    return shards.select(
+        F.col("key").alias("doc_id"),
+        "seq",
+        "slot",
+        "shard",
+        (F.col("slot") % SLOTS).alias("place"),
+        "n_tokens",
+        F.octet_length("tokens").cast("long").alias("stride"),
+        F.crc32("tokens").alias("tokens_crc32"),
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulith.llm.language_id import held_out, identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.filter(~held_out()))
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabulith.llm.resharding import reshard
 
@@ -63,12 +106,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_url_filter": op1_url_filter,
-    "op3_minhash_near_dedup": op3_minhash_near_dedup,
-    "op4_decontamination": op4_decontamination,
-    "op5_mixing": op5_mixing,
-    "op10_sharding": op10_sharding,
+    f.__name__: f
+    for f in (op1_url_filter, op2_media, op3_minhash_near_dedup, op4_decontamination, op5_mixing, op6_html_extraction, op7_license_scan, op8_token_output, op9_language_id, op10_sharding, pipeline)
 }
 
 SQL: dict[str, str] = {
