@@ -9,12 +9,14 @@ coordinates agree between two documents with the probability of their weighted J
 Documents with a coordinate still empty are thrown again with twice the bound. Work is in proportion
 to the number of words plus t.
 
-Joining: bands of rows coordinates are bucket keys. Documents with equal texts are one node. In every
-bucket each member is paired with the bucket's leader (its least node); pairs whose signatures agree on
-too few coordinates for the threshold (by more than six standard deviations) are put aside, all others
-are checked on the whole shingle multisets. After the components were joined, members that are in
-another component than their leader form the bucket's rest, which gets a leader of its own, and so on
-until no bucket has a rest: no bucket is capped, and no bucket's pairs are all written out.
+Joining: bands of ROWS coordinates are bucket keys; two texts at the threshold miss each other in all of them
+with a probability of 3e-6. Documents with equal texts are one node. In every bucket the members are compared
+with one leader, the member whose buckets are the fullest (the text that the others were made from, where
+there is one); pairs whose signatures agree on too few coordinates for the threshold (by more than six
+standard deviations) are put aside, all others are checked on the whole shingle multisets. Buckets that are
+one component then are done. In the others, members are dealt by hash to blocks of about BLOCK, and each pair of
+blocks is compared by a task of its own, on the whole multisets, which gives only links that join components.
+No bucket is capped, none meets in one task, and copies of one text are never paired with one another.
 
 Edges: null texts and texts without words are near-duplicates of nothing, but equal word-less texts
 are one class; fewer than five words make one shingle; repeated rows are copies of each other.
@@ -34,8 +36,10 @@ from tabulith.llm.byte_words import U64, Words, mix64, shingles, words_of
 from tabulith.llm.common import stored
 
 WIDTH, THRESHOLD = 5, 0.8
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 32, 5
 K = BANDS * ROWS
+#: Members of a block; a task compares two blocks.
+BLOCK = 256
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 #: Cumulative Poisson(1) probabilities: how many darts a unit cell holds, by a uniform 32-bit number.
 POISSON = np.array([math.floor(sum(math.exp(-1) / math.factorial(i) for i in range(n + 1)) * 2**32) for n in range(12)], dtype=np.uint64)
@@ -229,29 +233,64 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def _linked(texts: DataFrame, sigs: DataFrame, members: DataFrame) -> DataFrame | None:
     """node, label of all nodes with links; None if there are none."""
-    crowds = lambda rows: rows.join(rows.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "leader"), "band")
-    rest = stored(crowds(members), "dart-buckets")
+    rest = stored(members.join(members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "band"), "dart-buckets")
     if not rest.limit(1).count():
         return None
-    wanted = stored(rest.select("node").distinct(), "dart-wanted")
-    sets = stored(texts.join(wanted, "node", "left_semi").mapInArrow(_measured, "node long, strips binary").groupBy("node").agg(F.first("strips").alias("strips")), "dart-sets")
+    crowded = stored(rest.groupBy("node").agg(F.sum("n").alias("crowd")), "dart-crowded")
+    sets = stored(texts.join(crowded, "node", "left_semi").mapInArrow(_measured, "node long, strips binary").groupBy("node").agg(F.first("strips").alias("strips")), "dart-sets")
 
     def of(side: str, table: DataFrame, column: str) -> DataFrame:
         return table.select(F.col("node").alias(side), F.col(column).alias(f"{column}_{side}"))
 
-    links, labels, seen = None, None, None
-    while rest.limit(1).count():
-        pairs = rest.filter("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "dart-pairs")
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        likely = stored(pairs.join(of("a", sigs, "sig"), "a").join(of("b", sigs, "sig"), "b").mapInArrow(_agreeing, "a long, b long"), "dart-likely")
-        found = stored(likely.join(of("a", sets, "strips"), "a").join(of("b", sets, "strips"), "b").mapInArrow(_checked, "a long, b long"), "dart-links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links, "dart")
-        # members outside their leader's component stay in the bucket, under the least of them
-        mine, head = labels.withColumnRenamed("label", "mine"), labels.select(F.col("node").alias("leader"), F.col("label").alias("heads"))
-        apart = rest.join(mine, "node", "left").join(head, "leader", "left").filter(F.coalesce("mine", "node") != F.coalesce("heads", "leader")).select("band", "node")
-        rest = stored(crowds(stored(apart, "dart-apart")), "dart-buckets")
-    return labels
+    leaders = stored(rest.join(crowded, "node").groupBy("band").agg(F.max(F.struct("crowd", "node")).alias("l")).select("band", F.col("l.node").alias("leader")), "dart-leaders")
+    pairs = stored(rest.join(leaders, "band").filter("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "dart-pairs")
+    likely = stored(pairs.join(of("a", sigs, "sig"), "a").join(of("b", sigs, "sig"), "b").mapInArrow(_agreeing, "a long, b long"), "dart-likely")
+    links = stored(likely.join(of("a", sets, "strips"), "a").join(of("b", sets, "strips"), "b").mapInArrow(_checked, "a long, b long"), "dart-links")
+    labels = components(links, "dart")
+    # the buckets in several components, by blocks of members
+    placed = stored(rest.join(labels, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("mine")), "dart-placed")
+    several = placed.groupBy("band").agg(F.min("mine").alias("x"), F.max("mine").alias("y")).filter("x <> y").select("band")
+    apart = stored(placed.join(several, "band"), "dart-apart")
+    if not apart.limit(1).count():
+        return labels
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.hash("node", "band"), blocks)
+    dealt = apart.withColumns({"_own": own, "_other": F.explode(F.sequence(F.lit(0), blocks - 1))}).select("band", "node", "mine", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"))
+    more = dealt.join(sets, "node").groupBy("band", "low", "high").applyInArrow(_joined, "a long, b long")
+    return components(stored(links.unionByName(more), "dart-links"), "dart")
+
+
+def _joined(table: pa.Table) -> pa.Table:
+    """Links between the members of two blocks: of all pairs at the threshold, those that join components (a spanning forest)."""
+    nodes, mine = (table.column(c).to_numpy() for c in ("node", "mine"))
+    sets = [np.frombuffer(x.as_buffer(), dtype=np.uint32) for x in table.column("strips")]
+    size = np.array([len(x) for x in sets])
+    m = len(nodes)
+    near = np.equal.outer(mine, mine)
+    if not near.all():
+        owner = np.repeat(np.arange(m), size)
+        values, which, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = counts[which] > 1  # the others can't be common to two members
+        place = (np.cumsum(counts > 1) - 1)[which[shared]]
+        owner = owner[shared]
+        common = np.zeros((m, m), dtype=np.float32)
+        for lo in range(0, int(place.max()) + 1 if len(place) else 0, 4096):
+            use = (place >= lo) & (place < lo + 4096)
+            held = np.zeros((m, 4096), dtype=np.float32)
+            held[owner[use], place[use] - lo] = 1
+            common += held @ held.T
+        near |= common >= THRESHOLD * (np.add.outer(size, size) - common)
+    a, b = [], []
+    fresh = np.ones(m, dtype=bool)
+    for start in range(m):
+        todo = [start] if fresh[start] else []
+        fresh[start] = False
+        while todo:
+            u = todo.pop()
+            found = np.flatnonzero(near[u] & fresh)
+            fresh[found] = False
+            todo.extend(found.tolist())
+            for v in found[mine[found] != mine[u]]:
+                a.append(nodes[u])
+                b.append(nodes[v])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
