@@ -7,9 +7,9 @@ MinHashes miss it with a probability below 0.64 ^ 32, one in a million. Windows
 equi-join on (n, band, MinHash), and a candidate counts if the window really holds the share CONTAINED
 of the template's distinct shingles.
 
-Only windows that hold a shingle of some template are hashed, and only texts that hold one of the
-anchor words (one word of each template shingle) are cut into words: others contain nothing of any
-template, so nothing can be lost. Each row is worked on by itself; templates, a table given with the
+Only windows that hold a shingle of some template are hashed, and only texts that hold an anchor (a word of
+each template shingle, or where it has only short ones the shingle itself) are cut into words: others
+contain nothing of any template, so nothing can be lost. Each row is worked on by itself; templates, a table given with the
 code, are the only thing that is broadcast.
 
 Edges: null, empty and shorter texts have no licenses; repeated rows each get their result; texts may
@@ -69,16 +69,20 @@ def words_of(text: str) -> list[str]:
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(UPPER, LOWER)))
 
 
-def anchors(templates: list[tuple[str, str]]) -> list[str]:
-    """Words of which every template shingle holds one: in turn the word that is in most of the shingles left; among equals the longest."""
-    left = [set(w[i : i + WIDTH]) for _, t in templates for w in [words_of(t)] for i in range(len(w) - WIDTH + 1)]
+def anchors(templates: list[tuple[str, str]]) -> str:
+    """A pattern that is in every text with a template shingle: of each shingle a word of five letters or more (in turn the one that is in most of the shingles left; among equals the longest), or else all its words."""
+    runs = [tuple(w[i : i + WIDTH]) for _, t in templates for w in [words_of(t)] for i in range(len(w) - WIDTH + 1)]
+    left = {r for r in runs if any(len(w) >= WIDTH for w in r)}
+    whole = sorted(set(runs) - left)
     chosen = []
     while left:
-        counts = Counter(w for s in left for w in s if len(w) >= 5) or Counter(w for s in left for w in s)
+        counts = Counter(w for r in left for w in set(r) if len(w) >= WIDTH)
         best = max(counts, key=lambda w: (counts[w], len(w), w))
         chosen.append(best)
-        left = [s for s in left if best not in s]
-    return sorted(chosen)
+        left = {r for r in left if best not in r}
+    inside = WORD.removesuffix("+")
+    outside = inside.replace("[^", "[", 1) + "+"
+    return f"(?<!{inside})(?:{'|'.join([*sorted(chosen), *(outside.join(r) for r in whole)])})(?!{inside})"
 
 
 def word_array(text: Column) -> Column:
@@ -114,7 +118,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: st
     sizes = sorted({r["_n"] for r in known.select("_n").collect()})
     vocabulary = known.agg(F.array_distinct(F.flatten(F.collect_list("_own"))).alias("v")).first()["v"]
     listed = F.array(*[F.lit(v) for v in vocabulary])
-    gate = F.translate(F.col(text), UPPER, LOWER).rlike("|".join(anchors(templates)))
+    gate = F.translate(F.col(text), UPPER, LOWER).rlike(anchors(templates))
     rows = stored(docs.select(F.col(key).alias("_key"), F.when(gate, F.col(text)).alias("_text")).withColumn("_row", F.monotonically_increasing_id()), "license-rows")
     # stored, so that the words are cut once a text, not once a shingle
     cut = stored(rows.filter(F.col("_text").isNotNull()).select("_row", word_array(F.col("_text")).alias("_words")), "license-words").select("_row", shingle_array(F.col("_words")).alias("_all"))
