@@ -37,7 +37,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: a cut lineage that outlives executors."""
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that no later plan reads."""
+    for t in tables:
+        spark = t.sparkSession
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t._stored_at)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -29,11 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulith.llm.byte_words import U64, Words, mix64, shingles, words_of
-from tabulith.llm.common import stored
+from tabulith.llm.common import discard, stored
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5
@@ -203,9 +203,15 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
         after = stored(sunk.join(jump, "label", "left").select("node", "was", F.least("label", "up").alias("label")), f"{name}-labels")
         changed = after.filter(F.col("was") != F.col("label")).limit(1).count()
-        labels = after.select("node", "label")
+        discard(labels)
+        labels = after
         if not changed:
-            return labels
+            discard(both)
+            out = labels.select("node", "label")
+            out._stored_at = labels._stored_at
+            return out
+        labels = after.select("node", "label")
+        labels._stored_at = after._stored_at
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -216,19 +222,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     one = stored(signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig")), "dart-nodes")
     sigs = one.select("node", "sig")
     labels = _linked(texts, sigs, one.select("node", F.explode("bands").alias("band")))
-    # of repeated rows the first in the scan's order is the one to keep
-    base = docs.drop("class_id", "kept").withColumns({"_node": node, "_whole": whole, "_least": F.struct(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"))})
-    nodes = base.filter(F.col(text).isNotNull()).groupBy("_node", "_whole").agg(F.min("_least").alias("_first"))
+    discard(one)
+    # a row is known by its key and the hash of its columns, which stay as they are when a lost scan is read again
+    docs = docs.drop("class_id", "kept")
+    row = F.struct(F.col(key).alias("key"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"))
+    base = docs.withColumns({"_node": node, "_whole": whole, "_least": row})
+    copies = base.filter(F.col(text).isNotNull()).groupBy("_node", "_whole", "_least").agg(F.count(F.lit(1)).alias("n"))
+    nodes = copies.groupBy("_node", "_whole").agg(F.min(F.struct("_least", "n")).alias("_first"))
+    made = [] if labels is None else [labels]
     if labels is not None:
-        nodes = stored(nodes, "dart-least").join(labels.withColumnRenamed("node", "_node"), "_node", "left")
+        made.append(nodes := stored(nodes, "dart-least"))
+        nodes = nodes.join(labels.withColumnRenamed("node", "_node"), "_node", "left")
     else:
         nodes = nodes.withColumn("label", F.lit(None).cast("long"))
     # a text without links is its own class, under its whole digest
-    nodes = stored(nodes.withColumn("_class", F.coalesce(F.col("label").cast("string"), F.hex("_whole"))).select("_whole", "_first", "_class"), "dart-labelled")
-    classes = stored(nodes.groupBy("_class").agg(F.min("_first").alias("_head")), "dart-classes")
+    made.append(nodes := stored(nodes.withColumn("_class", F.coalesce(F.col("label").cast("string"), F.hex("_whole"))).select("_whole", "_first", "_class"), "dart-labelled"))
+    made.append(classes := stored(nodes.groupBy("_class").agg(F.min("_first").alias("_head")), "dart-classes"))
+    repeated = classes.filter("_head.n > 1").limit(1).count()
     named = stored(nodes.join(classes, "_class").select(F.col("_whole").alias("_of"), "_head"), "dart-named")
-    found = base.join(named, F.col("_whole") == F.col("_of"), "left").withColumn("_head", F.coalesce("_head", "_least"))
-    return found.withColumns({"class_id": F.col("_head.key"), "kept": F.col("_head") == F.col("_least")}).drop("_node", "_whole", "_of", "_head", "_least")
+    discard(*made)
+    found = base.join(named, F.col("_whole") == F.col("_of"), "left").withColumn("_head", F.coalesce("_head", F.struct("_least", F.lit(1).cast("long").alias("n"))))
+    found = found.withColumns({"class_id": F.col("_head._least.key"), "kept": F.col("_head._least") == F.col("_least")})
+    if repeated:  # of rows that are alike in all columns one is kept
+        alike = F.col("kept") & (F.col("_head.n") > 1)
+        one = F.row_number().over(Window.partitionBy("_head").orderBy(F.lit(1))) == 1
+        found = found.filter(~alike).unionByName(found.filter(alike).withColumn("kept", one))
+    return found.drop("_node", "_whole", "_of", "_head", "_least")
 
 
 def _linked(texts: DataFrame, sigs: DataFrame, members: DataFrame) -> DataFrame | None:
@@ -251,13 +270,18 @@ def _linked(texts: DataFrame, sigs: DataFrame, members: DataFrame) -> DataFrame
     placed = stored(rest.join(labels, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("mine")), "dart-placed")
     several = placed.groupBy("band").agg(F.min("mine").alias("x"), F.max("mine").alias("y")).filter("x <> y").select("band")
     apart = stored(placed.join(several, "band"), "dart-apart")
-    if not apart.limit(1).count():
-        return labels
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.hash("node", "band"), blocks)
-    dealt = apart.withColumns({"_own": own, "_other": F.explode(F.sequence(F.lit(0), blocks - 1))}).select("band", "node", "mine", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"))
-    more = dealt.join(sets, "node").groupBy("band", "low", "high").applyInArrow(_joined, "a long, b long")
-    return components(stored(links.unionByName(more), "dart-links"), "dart")
+    discard(rest, crowded, leaders, pairs, likely, placed)
+    if apart.limit(1).count():
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        own = F.pmod(F.hash("node", "band"), blocks)
+        dealt = apart.withColumns({"_own": own, "_other": F.explode(F.sequence(F.lit(0), blocks - 1))}).select("band", "node", "mine", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"))
+        more = dealt.join(sets, "node").groupBy("band", "low", "high").applyInArrow(_joined, "a long, b long")
+        every = stored(links.unionByName(more), "dart-links")
+        discard(labels)
+        labels = components(every, "dart")
+        discard(every)
+    discard(sets, links, apart)
+    return labels
 
 
 def _joined(table: pa.Table) -> pa.Table:

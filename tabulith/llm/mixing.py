@@ -78,17 +78,16 @@ def mix(
     """Per document: key, _size, _source_size, _target and _taken (words the mix takes, repeats counted), and the columns named in keep."""
     if not 0 <= share <= max_epochs:
         raise ValueError("share must lie between 0 and max_epochs: beyond that no mix fits")
-    hashed = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
-    sized = stored(
-        docs.select(
-            F.col(key).alias("_key"),
-            F.col(source).alias("_source"),
-            word_count(F.col(text)).alias("_size"),
-            hashed.alias("_hash"),
-            *[F.col(c).alias(f"_keep_{c}") for c in keep],
-        ),
-        "mix-sizes",
-    ).withColumn("_fine", F.shiftrightunsigned("_hash", 64 - 2 * BITS))
+    fine = F.shiftrightunsigned("_hash", 64 - 2 * BITS)
+    measured = docs.select(
+        F.col(key).alias("_key"),
+        F.col(source).alias("_source"),
+        word_count(F.col(text)).alias("_size"),
+        F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("_hash"),
+        *[F.col(c).alias(f"_keep_{c}") for c in keep],
+    )
+    # only the measures are stored; columns that are kept are read from docs once more
+    sized = stored(measured.select("_key", "_source", "_size", "_hash"), "mix-sizes").withColumn("_fine", fine)
     sums = stored(sized.groupBy("_source").agg(F.sum("_size").alias("_size")), "mix-sources")
     total = sums.agg(F.sum("_size")).first()[0] or 0
     filled = stored(water_fill(stored(cycled_weights(sums, weights), "mix-weights"), share * total, max_epochs), "mix-targets")
@@ -119,7 +118,7 @@ def mix(
     second = border(within, F.col("_fine"), first.drop("_at"), "_used", "mix-border-2")
     cut = stored(need.join(second.select(F.col("_of").alias("_of2"), "_at", "_used"), F.col("_of").eqNullSafe(F.col("_of2")), "left").drop("_of2"), "mix-cuts")
 
-    rows = sized.join(bounded_broadcast(cut), F.col("_source").eqNullSafe(F.col("_of")))
+    rows = (measured.withColumn("_fine", fine) if keep else sized).join(bounded_broadcast(cut), F.col("_source").eqNullSafe(F.col("_of")))
     whole = F.col("_whole") * F.col("_size")
     plain = rows.filter(F.col("_at").isNull() | (F.col("_fine") != F.col("_at"))).withColumn("_taken", whole + F.when(F.col("_fine") < F.col("_at"), F.col("_size")).otherwise(0))
     # a 2^-24 part of a source: rows of one fine bucket, in the full order

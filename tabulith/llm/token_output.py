@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulith.llm.byte_words import U64, mix64
-from tabulith.llm.common import shared_path, stored
+from tabulith.llm.common import discard, shared_path, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
@@ -126,6 +126,7 @@ def write_shards(docs: DataFrame, path: str | None = None, text: str = "text", k
     stride = F.rpad(F.col("tokens"), F.lit(2 * length), F.unhex(F.lit("00")))
     dealt = placed.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot").withColumn("tokens", stride)
     dealt.write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    discard(rows)
     return path
 
 
