@@ -127,16 +127,21 @@ def reshard(docs: DataFrame, old_shards: int = 6, shards: int = 8, key: str = "d
 
 
 def rewrite_affected(spark, path: str, plan: dict[tuple[int, int], int]) -> list[str]:
-    """Apply a plan to a store written with partitionBy('shard', 'block'): only blocks that change their shard are read, written again and dropped at the old place. Returns the folders it rewrote."""
-    moved = [(s, b, j) for (s, b), j in sorted(plan.items()) if s != j]
+    """Apply a plan to a store written with partitionBy('shard', 'block'): one job reads the blocks that change their shard and writes them at their new places, then the old places are deleted; all other files stay as they are. Returns the folders it rewrote.
+
+    A moved block gets the number BLOCKS * (old shard + 1) + block, so that no two blocks of a shard share a folder.
+    """
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = []
-    for s, b, j in moved:
-        at = f"{path}/shard={s}/block={b}"
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(at)):
-            spark.read.parquet(at).write.mode("append").parquet(f"{path}/shard={j}/block={BLOCKS * (s + 1) + b}")
+    moved = [(s, b, j) for (s, b), j in sorted(plan.items()) if s != j]
+    old = {f"{path}/shard={s}/block={b}": (s, b, j) for s, b, j in moved}
+    old = {at: move for at, move in old.items() if fs.exists(jvm.org.apache.hadoop.fs.Path(at))}
+    if old:
+        places = F.broadcast(spark.createDataFrame(list(old.values()), "shard int, block int, _to int"))
+        rows = spark.read.option("basePath", path).parquet(*old).join(places, ["shard", "block"])
+        placed = rows.withColumns({"block": (F.col("shard") + 1) * BLOCKS + F.col("block"), "shard": F.col("_to")}).drop("_to")
+        placed.repartition("shard", "block").write.mode("append").partitionBy("shard", "block").parquet(path)
+        for at in old:
             fs.delete(jvm.org.apache.hadoop.fs.Path(at), True)
-            done.append(at)
-    return done
+    return sorted(old)
