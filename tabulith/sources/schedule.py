@@ -48,8 +48,8 @@ def schedule_rows(d, orders, lineitem, part):
     upper(p_name) AS description,
     {d.string('p_size')} || 'B' || {d.string('l_partkey % 97')} AS catalog,
     CASE WHEN l_partkey % 7 = 0 THEN NULL WHEN l_partkey % 17 = 0 THEN '630-' ELSE {d.at(finish, 'l_suppkey % 4 + 1')} END AS finish,
-    CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE {d.at(maker, 'l_suppkey % 5 + 1')} END AS mfr,
-    l_partkey % 13 = 0 AS dropped
+    CASE WHEN l_partkey % 11 = 0 THEN NULL WHEN l_partkey % 19 = 0 THEN 'Q' || {d.string('l_partkey')} ELSE {d.at(maker, 'l_suppkey % 5 + 1')} END AS mfr,
+    l_partkey % 13 = 0 OR ({d.div('o_custkey', str(CUSTOMERS))} % 10 = 9 AND l_partkey % 4 <> 0) AS dropped, l_partkey % 23 = 0 AS twice
   FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey JOIN {part} ON l_partkey = p_partkey"""
 
 
@@ -74,11 +74,12 @@ def schedule_lines(d, orders, lineitem, rows):
   UNION ALL {extra(8, "'PROVIDE EACH SINGLE DOOR WITH THE FOLLOWING:'", 'o_orderkey % 7 = 2')}
   UNION ALL {extra(9, "'Properties: Rated ' || " + d.string('o_orderkey % 90') + " || ' MIN'", 'o_orderkey % 10 = 3')}
   UNION ALL
-  SELECT stream, o_orderkey, 10, CAST(rn AS INT), 0, qty || unit || ' ' || description || ' ' || catalog || CASE WHEN dropped THEN '' ELSE {tail} END, l_partkey FROM {rows}
+  SELECT stream, o_orderkey, 10, CAST(rn AS INT), 0, qty || unit || ' ' || description || ' ' || catalog || CASE WHEN dropped THEN '' ELSE CASE WHEN twice THEN coalesce(' ' || finish, '') ELSE '' END || {tail} END, l_partkey FROM {rows}
   UNION ALL
   SELECT stream, o_orderkey, 10, CAST(rn AS INT), 1, CASE WHEN dropped THEN ltrim({tail}) ELSE '316' END, l_partkey FROM {rows}
   WHERE CASE WHEN dropped THEN finish IS NOT NULL AND mfr IS NOT NULL ELSE finish = '630-' AND mfr IS NULL END
   UNION ALL {extra(11, "'1 GASKETING BY ALUMINUM DOOR'", 'o_orderkey % 12 = 5')}
+  UNION ALL SELECT {stream}, o_orderkey, 11, 1, 0, 'RM ADJ', CAST(NULL AS BIGINT) FROM {orders} WHERE o_orderkey % 12 = 5
   UNION ALL {extra(12, "'NOTE: verify with owner'", 'o_orderkey % 6 = 4')}
   UNION ALL {extra(13, "'coordinate all work with the electrical trade'", 'o_orderkey % 6 = 4')}
   UNION ALL {extra(14, "'OPERATION: door normally closed and locked'", 'o_orderkey % 5 = 0')}
@@ -126,7 +127,7 @@ def words(d, placed, rows):
     )
     return f"""
   SELECT CAST(stream AS BIGINT) AS stream, CAST(page AS BIGINT) AS page, CAST(line AS BIGINT) AS line, text,
-    CAST(edge AS DOUBLE) + CASE WHEN stream % 5 = 0 THEN CAST(l_partkey % 23 AS DOUBLE) WHEN l_partkey % 20 = 0 THEN CAST(0.3 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS x0,
+    CAST(edge AS DOUBLE) + CASE WHEN stream % 5 = 0 THEN CAST(l_partkey % 23 AS DOUBLE) WHEN l_partkey % 29 = 0 AND edge = {COLUMNS['finish']} THEN CAST(-40 AS DOUBLE) WHEN l_partkey % 20 = 0 THEN CAST(0.3 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS x0,
     CAST(22 + 16 * line AS DOUBLE) AS top, CAST(30 + 16 * line AS DOUBLE) AS bottom
   FROM (
     {union}) q"""
