@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at once: the tables of powers stay in the processor's cache. A longer document is taken by itself.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)

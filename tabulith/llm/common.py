@@ -12,6 +12,20 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+#: Bytes of rows that go to a Python worker at once.
+ARROW_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound what a Python worker, and Spark's side of it, hold of df at a time (a longer row goes by itself): a setting of the session, never raised."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = df.sparkSession.conf.get(name, "64m").lower().removesuffix("b")
+    size = int(held[:-1]) << {"k": 10, "m": 20, "g": 30}[held[-1]] if held[-1:] in "kmg" else int(held)
+    if size <= 0 or size > ARROW_BYTES:
+        df.sparkSession.conf.set(name, str(ARROW_BYTES))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulith.llm.byte_words import U64, Words, mix64, shingles, words_of
-from tabulith.llm.common import discard, stored
+from tabulith.llm.common import discard, small_batches, stored
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5
@@ -71,8 +71,8 @@ def darts(strips: np.ndarray, docs: np.ndarray, n: int, k: int = K) -> np.ndarra
         use = todo[docs]
         s, d = strips[use], docs[use]
         first, last = np.floor(low[d]).astype(np.int64), np.ceil(bound[d]).astype(np.int64)
-        for lo in range(0, len(s), 1 << 18):  # cells at once: bounded memory however large the bound is
-            part = slice(lo, lo + (1 << 18))
+        for lo in range(0, len(s), 1 << 17):  # cells at once: bounded memory however large the bound is
+            part = slice(lo, lo + (1 << 17))
             _throw(s[part], d[part], first[part], last[part], bound, best, names, k)
         todo = todo & (best.reshape(n, k) == EMPTY).any(axis=1)
         low[todo] = np.floor(bound[todo])
@@ -83,7 +83,7 @@ def darts(strips: np.ndarray, docs: np.ndarray, n: int, k: int = K) -> np.ndarra
 def _throw(s, d, first, last, bound, best, names, k):
     """All darts of the strips' cells of ranks first ... last - 1 that lie below the bound."""
     cells = last - first
-    for lo, hi in _slices(cells, 1 << 20):
+    for lo, hi in _slices(cells, 1 << 18):
         reps = cells[lo:hi]
         strip, doc = np.repeat(s[lo:hi], reps), np.repeat(d[lo:hi], reps)
         step = np.arange(len(strip)) - np.repeat(np.cumsum(reps) - reps, reps)
@@ -217,7 +217,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with class_id, the least key of the document's class (its own where it is alone), and kept, true for one row of each class."""
     node, whole = F.xxhash64(F.col(text)), F.unhex(F.md5(F.col(text)))
-    texts = docs.filter(F.col(text).isNotNull()).select(node.alias("node"), F.col(text).alias("text"))
+    texts = small_batches(docs).filter(F.col(text).isNotNull()).select(node.alias("node"), F.col(text).alias("text"))
     signed = texts.mapInArrow(_signed, "node long, bands array<long>, sig binary")
     one = stored(signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig")), "dart-nodes")
     sigs = one.select("node", "sig")

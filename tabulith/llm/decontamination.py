@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulith.llm.byte_words import Words, word_hashes, words_of
-from tabulith.llm.common import shared_path, stored
+from tabulith.llm.common import shared_path, small_batches
 
 WINDOW = 10
 #: Words of items that go to the executors at once (about 12 bytes each).
@@ -186,7 +186,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), held, *parts], names=["block", "keys", "bounds", "terms", "starts", "positions"])
                 number += 1
 
-    made = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(indexed, INDEX)
+    made = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(indexed, INDEX)
     if path is None:
         path = shared_path(docs.sparkSession, "positional-index")
     made.write.option("compression", "zstd").parquet(path)
@@ -220,7 +220,7 @@ def phrase_matches(index: DataFrame, groups: Iterable[list[tuple[str, np.ndarray
                         names=["block", "place", "key", "n_words", "hits", "items"],
                     )
 
-        passes.append(index.mapInArrow(matched, FOUND))
+        passes.append(small_batches(index).mapInArrow(matched, FOUND))
     if len(passes) == 1:
         return passes[0].drop("block", "place")
     every = passes[0]
@@ -238,7 +238,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents of which no word lies in an occurrence of an item's window; rows as they came, in one pass for each group of items."""
-    kept = docs
+    kept = small_batches(docs)
     for group in item_groups(benchmark):
         phrases = Phrases(group)
 
@@ -255,4 +255,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -
     return kept
 
 
-__all__ = ["Postings", "Phrases", "build_index", "clean_documents", "contamination", "item_groups", "phrase_matches", "proximity", "stored"]
+__all__ = ["Postings", "Phrases", "build_index", "clean_documents", "contamination", "item_groups", "phrase_matches", "proximity"]

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulith.llm.byte_words import CHUNK, U64, mix64, utf8
+from tabulith.llm.byte_words import CHUNK, utf8
+from tabulith.llm.common import small_batches
 
 DIM = 1 << 12
 SAMPLE = 500
@@ -140,12 +141,14 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     part = F.lit(0.0)
     for name, n in counts.items():
         part = F.when(F.col("lang") == name, F.lit(min(1.0, sample / n))).otherwise(part)
-    picked = labelled.filter(F.col("text").isNotNull() & (F.shiftrightunsigned("h", 11) <= part * F.lit(float(1 << 53)))).select("lang", "text")
+    picked = small_batches(labelled).filter(F.col("text").isNotNull() & (F.shiftrightunsigned("h", 11) <= part * F.lit(float(1 << 53)))).select("lang", "text")
 
     def measured(batches):
         for batch in batches:
-            rows = features(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([r.tobytes() for r in rows.astype(np.float16)], pa.binary())], names=["lang", "x"])
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                rows = features(part.column("text")).astype(np.float16)
+                yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "x"])
 
     rows = sorted((r["lang"], bytes(r["x"])) for r in picked.mapInArrow(measured, "lang string, x binary").collect())
     x = np.stack([np.frombuffer(b, dtype=np.float16) for _, b in rows]).astype(np.float32) if rows else np.zeros((0, DIM), dtype=np.float32)
@@ -157,11 +160,11 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """docs with lang_pred, score (0 to 1) and ambiguous."""
     others = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
-    shaped = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"), F.col(text).alias("_text"))
+    shaped = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"))
 
     def predicted(batches):
         for batch in batches:
-            texts = batch.column("_text")
+            texts = batch.column("_row").field(text)
             some = np.array([bool(t) and LETTER.search(t) is not None for t in texts.to_pylist()], dtype=bool)
             names, score, margin = np.full(len(some), UNKNOWN, dtype=object), np.zeros(len(some)), np.zeros(len(some))
             if model is not None:
@@ -185,4 +188,4 @@ def held_out(key: str = "doc_id", folds: int = 5):
     return F.coalesce(F.crc32(F.col(key).cast("string")) % folds == 0, F.lit(False))
 
 
-__all__ = ["Model", "codewords", "features", "held_out", "identify", "mix64", "train", "U64"]
+__all__ = ["Model", "codewords", "features", "held_out", "identify", "train"]

@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulith.llm.common import small_batches
+
 MULAW, ALAW, IMA, PCM = 7, 6, 17, 1
 UNIT, PAD, RATE, FACTOR = 576, 255, 8000, 2
 #: Bytes of clips that are decoded side by side; a longer clip is decoded by itself.
@@ -159,7 +161,7 @@ def store_as_audio(rows: DataFrame, text: Column, key: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n_bytes"), pa.array([to_wave(b, MULAW) for b in bodies], pa.binary())], names=["key", "n_bytes", "media"])
 
     body = F.coalesce(text, F.lit(""))
-    return rows.select(F.col(key).cast("long").alias("key"), F.octet_length(body).cast("long").alias("n_bytes"), body.alias("body")).mapInArrow(encoded, "key long, n_bytes long, media binary")
+    return small_batches(rows).select(F.col(key).cast("long").alias("key"), F.octet_length(body).cast("long").alias("n_bytes"), body.alias("body")).mapInArrow(encoded, "key long, n_bytes long, media binary")
 
 
 FEATURES = "key long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -209,7 +211,7 @@ def audio_features(stored: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("key"), part.column("n_bytes"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["key", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
                 at = to
 
-    return stored.mapInArrow(measured, FEATURES)
+    return small_batches(stored).mapInArrow(measured, FEATURES)
 
 
 def resampled_pcm(stored: DataFrame, media: str = "media", factor: int = FACTOR) -> DataFrame:
@@ -227,4 +229,4 @@ def resampled_pcm(stored: DataFrame, media: str = "media", factor: int = FACTOR)
                 out.append(to_wave(up.astype("<i2").tobytes(), PCM, rate * factor, 2))
             yield batch.set_column(batch.schema.get_field_index(media), media, pa.array(out, pa.binary()))
 
-    return stored.mapInArrow(converted, stored.schema)
+    return small_batches(stored).mapInArrow(converted, stored.schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulith.llm.byte_words import U64, mix64
-from tabulith.llm.common import discard, shared_path, stored
+from tabulith.llm.common import discard, shared_path, small_batches, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
@@ -95,7 +95,7 @@ def sequences(docs: DataFrame, text: str = "text", key: str = "doc_id", length:
                         blobs.append(part.tobytes())
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(row, pa.int64())), pa.array(seq, pa.int32()), pa.array(size, pa.int32()), pa.array(blobs, pa.binary())], names=["key", "seq", "n_tokens", "tokens"])
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(cut, "key long, seq int, n_tokens int, tokens binary")
+    return small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(cut, "key long, seq int, n_tokens int, tokens binary")
 
 
 def with_slots(numbered: DataFrame, offsets: dict[int, int], permutation: Permutation) -> DataFrame:
@@ -109,7 +109,7 @@ def with_slots(numbered: DataFrame, offsets: dict[int, int], permutation: Permut
             yield batch.set_column(batch.schema.get_field_index("_mid"), "slot", pa.array(permutation.slot(index), pa.int64()))
 
     kinds = ", ".join(f"{'slot' if f.name == '_mid' else f.name} {f.dataType.simpleString()}" for f in numbered.schema)
-    return numbered.mapInArrow(placed, kinds)
+    return small_batches(numbered).mapInArrow(placed, kinds)
 
 
 def write_shards(docs: DataFrame, path: str | None = None, text: str = "text", key: str = "doc_id", length: int = LENGTH, slots: int = SLOTS, seed: int = KEY, vocabulary: str = VOCABULARY, end: int = END) -> str:
