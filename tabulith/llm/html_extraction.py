@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulith.llm.common import small_batches
+
 SHORT, LONG = 70, 200  # characters
 STOP_LOW, STOP_HIGH = 0.10, 0.20  # shares of stop words
 LINKS = 0.33
@@ -45,6 +47,8 @@ MARKED = re.compile(
     r"sidebar|side|widget|menu|nav|navbar|navigation|breadcrumbs?|header|masthead|footer|copyright|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|pagination|pager|tags|toolbar)(?=$|[\s_-])",
     re.I,
 )
+#: In an article, its own heading is none of these.
+HEADING = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?=$|[\s_-])", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu alert dialog".split())
@@ -106,6 +110,7 @@ def cut_blocks(page: str) -> list[Block]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
+                    link = link and name in ("p", "span")  # a link that was never closed ends with its container
                     break
             continue
         if name in SILENT:
@@ -123,13 +128,14 @@ def cut_blocks(page: str) -> list[Block]:
         if name in VOID or found[3].endswith("/"):
             continue
         if name in BOILER or name in MAIN or name in ("div", "section", "ul", "ol", "table", "td", "p", "span", "li", "dl", "figure"):
-            bad = name in BOILER
+            inside = any(m for _, _, m in stack)
+            bad = name in BOILER and not (inside and name == "header")
             if not bad and found[3]:
                 for key, *values in ATTRIBUTE.findall(found[3]):
                     value = next((v for v in values if v), "")
+                    if inside:
+                        value = HEADING.sub("", value)
                     bad = bad or (value.lower() in ROLES if key.lower() == "role" else bool(MARKED.search(value)))
-            if name == "header" and any(m for _, _, m in stack) and not found[3]:
-                bad = False  # the heading of an article
             if name == "p":
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == "p":
@@ -214,6 +220,6 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
             yield pa.RecordBatch.from_arrays([row, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["_row", "text", "n_chars"])
 
     others = [c for c in pages.columns if c not in (html, "text", "n_chars")]
-    shaped = pages.select(F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(1).alias("_none")]).alias("_row"), F.col(html).alias("_html"))
+    shaped = small_batches(pages).select(F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(1).alias("_none")]).alias("_row"), F.col(html).alias("_html"))
     row = shaped.schema["_row"].dataType.simpleString()
     return shaped.mapInArrow(extracted, f"_row {row}, text string, n_chars long").select(*[F.col(f"_row.`{c}`").alias(c) for c in others], "text", "n_chars")

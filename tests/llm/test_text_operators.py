@@ -114,6 +114,8 @@ def test_html_rules():
     assert main_text(None) == main_text("") == main_text("<p>") == main_text("<script>never closed <p>x") == ""
     assert main_text(f"<div><a href=1>home</a></div><p>{prose}</p><p>And so on.</p>") == f"{body} And so on."
     assert main_text("<article><p>a &lt; b &amp;lt; c</p></article>") == "a < b &lt; c"
+    assert main_text(f'<main><div class="post-header"><h1>Heading</h1></div><p>{prose}</p><ul class="share-links"><li>Post it</li></ul></main>') == f"Heading {body}"
+    assert main_text(f'<nav><a href="/">never closed</nav><article><p>{prose}</p></article>') == body
     assert main_text(f"<article><p>{prose} cut off <b") == f"{body} cut off"
     assert main_text("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
