@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulith.operators.geometry import merge_clusters
 from tabulith.plans import registry
-from tabulith.plans.graph import apply
+from tabulith.plans.graph import BORDERS, apply
 
 
 def plain(x):
@@ -201,4 +201,4 @@ def test_nothing_is_lost_in_the_cut(spark, sf_dir):
 def test_empty_tables_give_empty_results(spark):
     empty = roles(spark, ["x"]).limit(0)
     for name in ("blocks", "block_spans", "rule_buckets", "repaired_rows", "set_records"):
-        assert apply(spark, name, line_roles=empty).count() == 0
+        assert apply(spark, name, BORDERS, line_roles=empty).count() == 0
