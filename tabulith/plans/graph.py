@@ -58,7 +58,10 @@ def render(name: str, dialect: Dialect, given: dict[str, str] | None = None) ->
 
 #: Relations at which the record extraction has its own file borders. Over tables they are stored as Parquet in the
 #: shared folder, which keeps plans small, computes nothing twice and outlives lost executors.
-BORDERS = ("lines", "line_roles", "chunk_blocks", "vocabulary", "rule_buckets", "rule_rows", "word_line_assign", "page_class")
+BORDERS = (
+    "lines", "line_roles", "chunk_blocks", "page_class", "candidate_tokens", "legend", "column_schema", "vocabulary", "body_lines", "rule_buckets", "rule_rows", "stitch_tails", "word_line_assign", "tail_words",
+    "column_bands", "slot_zones",
+)
 
 
 #: Stored borders of this process, by application, relation, its SQL and the state of the input files.
