@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulith.plans.ship import ship
+
 ANSWERS = "fingerprint string, answer string"
 
 
@@ -24,6 +26,7 @@ def baseline(prompt: str) -> str:
 
 def ask(prompts: DataFrame, cache: DataFrame, provider: Callable[[str], str] = baseline) -> tuple[DataFrame, DataFrame]:
     """(prompts with answers, answers that are new to the cache). Equal requests are asked once."""
+    ship(prompts.sparkSession)
     keyed = prompts.withColumn("fingerprint", fingerprint())
     known = cache.select("fingerprint", "answer").dropDuplicates(["fingerprint"])
 
