@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulith.plans.ship import ship
+
 #: A side is broadcast only after its rows were counted and are at most so many.
 BROADCAST_ROWS = 100_000
 
@@ -17,7 +19,8 @@ ARROW_BYTES = 8 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Bound what a Python worker, and Spark's side of it, hold of df at a time (a longer row goes by itself): a setting of the session, never raised."""
+    """Bound what a Python worker, and Spark's side of it, hold of df at a time (a longer row goes by itself): a setting of the session, never raised. Sees to it that workers have the package."""
+    ship(df.sparkSession)
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     held = df.sparkSession.conf.get(name, "64m").lower().removesuffix("b")
     size = int(held[:-1]) << {"k": 10, "m": 20, "g": 30}[held[-1]] if held[-1:] in "kmg" else int(held)
