@@ -182,13 +182,12 @@ def page_hash(d, pages):
 
 @relation("page_hash")
 def duplicate_regions(d, hashes):
-    """Runs of pages of one file that another file holds in the same order: maximal diagonals of equal hashes, a hash counting at its first page in a file, so that pages that recur don't pair with one another."""
-    first = f"(SELECT file, hash, min(page) AS page FROM {hashes} GROUP BY file, hash)"
+    """Runs of pages of one file that another file holds in the same order: maximal diagonals of equal hashes, every page of a hash that recurs with every page of it in the other file."""
     return f"""
   SELECT file, twin, min(page) AS first_page, max(page) AS last_page, min(other) AS twin_first, count(*) AS pages
   FROM (
     SELECT *, page - row_number() OVER (PARTITION BY file, twin, other - page ORDER BY page) AS run
-    FROM (SELECT a.file, b.file AS twin, a.page, b.page AS other FROM {first} a JOIN {first} b ON a.hash = b.hash AND a.file < b.file) m) q
+    FROM (SELECT a.file, b.file AS twin, a.page, b.page AS other FROM {hashes} a JOIN {hashes} b ON a.hash = b.hash AND a.file < b.file) m) q
   GROUP BY file, twin, other - page, run"""
 
 

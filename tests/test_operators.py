@@ -202,3 +202,13 @@ def test_empty_tables_give_empty_results(spark):
     empty = roles(spark, ["x"]).limit(0)
     for name in ("blocks", "block_spans", "rule_buckets", "repaired_rows", "set_records"):
         assert apply(spark, name, BORDERS, line_roles=empty).count() == 0
+
+
+def test_pages_that_recur_stay_in_their_runs(spark):
+    def runs(**files):
+        pages = spark.createDataFrame([(f, i + 1, h) for f, hs in files.items() for i, h in enumerate(hs)], "file string, page long, hash string")
+        return sorted((r.first_page, r.last_page, r.twin_first, r.pages) for r in apply(spark, "duplicate_regions", page_hash=pages).collect())
+
+    assert runs(a="XYXZ", b="XYXZ") == [(1, 1, 3, 1), (1, 4, 1, 4), (3, 3, 1, 1)]
+    # X also comes earlier in the twin
+    assert runs(a="XYZ", b="XQXYZ") == [(1, 1, 1, 1), (1, 3, 3, 3)]
