@@ -13,6 +13,9 @@ from tabulith.plans.graph import relation
 CUSTOMERS, LINES = 75, 40
 COLUMNS = {"qty": 72, "unit": 90, "description": 120, "catalog": 270, "finish": 440, "mfr": 500}
 
+#: The words of the column header, which every page has as its second line, and their edges.
+HEADER = {"QTY": COLUMNS["qty"], "DESCRIPTION": COLUMNS["description"], "CATALOG": COLUMNS["catalog"], "NUMBER": COLUMNS["catalog"] + 40, "FINISH": COLUMNS["finish"], "MFR": COLUMNS["mfr"]}
+
 LEGEND = [
     "Section 087100 general notes for the work of this book",
     "Manufacturers:",
@@ -108,13 +111,13 @@ def lines(d, placed):
   FROM (
     SELECT stream, page, line, text, {struck} AS struck FROM {placed}
     UNION ALL SELECT stream, page, 1, 'DOOR HARDWARE ' || {d.string('stream % 3 + 1')} || ' SUBMITTAL', NULL FROM {pages}
-    UNION ALL SELECT stream, page, 2, 'QTY DESCRIPTION CATALOG NUMBER FINISH MFR', NULL FROM {pages}
+    UNION ALL SELECT stream, page, 2, '{" ".join(HEADER)}', NULL FROM {pages}
     UNION ALL SELECT stream, page, 44, 'Door Hardware 087100 - ' || {d.string('page')}, NULL FROM {pages}) q"""
 
 
 @relation("placed_lines", "schedule_rows", query=False)
 def words(d, placed, rows):
-    """Words of component rows with their column edges; a few rows are shifted, every fifth stream is ragged."""
+    """Words of component rows and of column headers with their edges; a few rows are shifted, every fifth stream is ragged, and every fifth page's header stands a point to the right."""
     column = lambda name, text, when="TRUE": f"SELECT r.stream, p.page, p.line, r.o_orderkey, r.rn, {COLUMNS[name]} AS edge, {text} AS text, r.l_partkey FROM {rows} r JOIN {placed} p ON p.stream = r.stream AND p.o_orderkey = r.o_orderkey AND p.rn = r.rn AND p.section = 10 AND p.sub = 0 WHERE {when}"
     union = "\n    UNION ALL ".join(
         [
@@ -126,9 +129,14 @@ def words(d, placed, rows):
             column("description", d.at(d.split("description", " "), "1"), "TRUE"),
         ]
     )
+    edges = "CASE text " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HEADER.items()) + " END"
+    header = d.explode_from(f"(SELECT stream, page, {d.list(*map(d.text, HEADER))} AS parts FROM {placed} GROUP BY stream, page) h", "parts", "text", "place")
     return f"""
+  SELECT stream, page, line, text, x0, x0 + CAST(5 * length(text) AS DOUBLE) AS x1, top, bottom FROM (
   SELECT CAST(stream AS BIGINT) AS stream, CAST(page AS BIGINT) AS page, CAST(line AS BIGINT) AS line, text,
     CAST(edge AS DOUBLE) + CASE WHEN stream % 5 = 0 THEN CAST(l_partkey % 23 AS DOUBLE) WHEN l_partkey % 29 = 0 AND edge = {COLUMNS['finish']} THEN CAST(-40 AS DOUBLE) WHEN l_partkey % 20 = 0 THEN CAST(0.3 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS x0,
     CAST(22 + 16 * line AS DOUBLE) AS top, CAST(30 + 16 * line AS DOUBLE) AS bottom
   FROM (
-    {union}) q"""
+    {union}) q
+  UNION ALL
+  SELECT CAST(stream AS BIGINT), CAST(page AS BIGINT), CAST(2 AS BIGINT), text, CAST({edges} AS DOUBLE) + CASE WHEN page % 5 = 0 THEN 1 ELSE 0 END, CAST(54 AS DOUBLE), CAST(62 AS DOUBLE) FROM {header}) w"""

@@ -212,3 +212,23 @@ def test_pages_that_recur_stay_in_their_runs(spark):
     assert runs(a="XYXZ", b="XYXZ") == [(1, 1, 3, 1), (1, 4, 1, 4), (3, 3, 1, 1)]
     # X also comes earlier in the twin
     assert runs(a="XYZ", b="XQXYZ") == [(1, 1, 1, 1), (1, 3, 3, 3)]
+
+
+def test_header_words_vote_with_their_own_edges(spark):
+    # stream 1: the header is line 1; stream 2: a running header with glued words; stream 3: two labels only
+    heads = spark.createDataFrame(
+        [(1, 1, 1, "Qty Description Finish", 30.0, 40.0, "col_hdr"), (1, 2, 3, "Qty Description Finish", 60.0, 70.0, "col_hdr"), (2, 1, 1, "QTY.FINISH MFR", 30.0, 40.0, "page_header"), (3, 1, 1, "FINISH MFR", 30.0, 40.0, "content")],
+        "stream long, page long, line long, text string, top double, bottom double, role string",
+    )
+    words = spark.createDataFrame(
+        [(1, 1, "Qty", 50.0, 65.0, 31.0, 39.0), (1, 1, "Finish", 401.5, 430.0, 31.0, 39.0), (1, 1, "FINISH", 9.0, 39.0, 50.0, 60.0), (1, 2, "Qty", 50.0, 65.0, 61.0, 69.0), (1, 2, "Finish", 403.0, 430.0, 61.0, 69.0)]
+        + [(2, 1, "QTY.FINISH", 100.0, 150.0, 31.0, 39.0), (2, 1, "MFR", 300.0, 315.0, 31.0, 39.0), (3, 1, "MFR", 300.0, 315.0, 31.0, 39.0)],
+        "stream long, page long, text string, x0 double, x1 double, top double, bottom double",
+    )
+    got = sorted(map(tuple, apply(spark, "header_anchor_vote", words=words, line_roles=heads).collect()))
+    assert got == [(1, "finish", 401.5, 1), (1, "qty", 50.0, 2), (2, "finish", 120.0, 1), (2, "mfr", 300.0, 1), (2, "qty", 100.0, 1)]
+
+
+def test_every_stream_votes(spark, sf_dir):
+    streams = lambda name: {r.stream for r in registry.QUERIES[name](spark, sf_dir).select("stream").distinct().collect()}
+    assert streams("header_anchor_vote") == streams("role_counts")
