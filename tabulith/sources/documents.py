@@ -28,9 +28,10 @@ def lines_scan(d, documents):
 
 @relation("lines", "documents", query=False)
 def book_pages(d, lines, documents):
-    """Pages of books: each stream's pages as text, filler documents after every ninth page, weak and sparse pages, and closing sections.
+    """Pages of books: each stream's pages as text, every document with text once as filler after a ninth page, weak and sparse pages, and closing sections.
 
-    A page's place in its book is nine times its turn, so that fillers go between pages."""
+    A page's place in its book is nine times its turn, so that fillers go between pages; by stream, one to four of them stand together."""
+    run = "(stream % 4 + 1)"
     filler = f"""SELECT {d.integer('doc_id % 20')} AS stream, doc_id, text, row_number() OVER (PARTITION BY doc_id % 20 ORDER BY doc_id) AS turn FROM {documents} WHERE text IS NOT NULL"""
     body = d.join(d.gather("text", "line"), "\n") if d.name == "oracle" else "array_join(transform(array_sort(collect_list(struct(line AS o, text AS v))), x -> x.v), '\\n')"
     newline = "chr(10)"
@@ -39,8 +40,7 @@ def book_pages(d, lines, documents):
   SELECT stream, row_number() OVER (PARTITION BY stream ORDER BY place, kind) AS page, kind, text
   FROM (
     SELECT stream, page * 9 AS place, 'schedule' AS kind, {body} AS text FROM {lines} GROUP BY stream, page
-    UNION ALL SELECT stream, turn * 81 + 1, 'filler', text FROM ({filler}) f WHERE turn % (stream % 4 + 1) = 0
-    UNION ALL SELECT stream, turn * 81 + 2, 'filler', text FROM ({filler}) f WHERE stream % 5 > 1
+    UNION ALL SELECT stream, (turn - turn % {run}) * 81 + 1 + turn % {run}, 'filler', text FROM ({filler}) f
     UNION ALL SELECT stream, turn * 81 + 3, 'sparse', 'Door Hardware' FROM ({filler}) f
     UNION ALL SELECT stream, turn * 81 + 4, 'weak', 'Set #' || {d.string('turn')} || ' continued' FROM ({filler}) f WHERE turn % 3 = 0
     UNION ALL SELECT stream, max(page) * 9 + 1, 'closing', 'END OF SECTION 087100' FROM {lines} WHERE stream % 2 = 0 GROUP BY stream) q"""

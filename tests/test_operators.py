@@ -232,3 +232,10 @@ def test_header_words_vote_with_their_own_edges(spark):
 def test_every_stream_votes(spark, sf_dir):
     streams = lambda name: {r.stream for r in registry.QUERIES[name](spark, sf_dir).select("stream").distinct().collect()}
     assert streams("header_anchor_vote") == streams("role_counts")
+
+
+def test_every_document_is_a_page_of_a_book_once(spark):
+    docs = spark.createDataFrame([(i, None if i == 7 else f"text {i}") for i in range(200)], "doc_id long, text string")
+    pages = apply(spark, "book_pages", lines=lines(spark, ["x"]), documents=docs).filter("kind = 'filler'").collect()
+    assert sorted(r.text for r in pages) == sorted(f"text {i}" for i in range(200) if i != 7)
+    assert all(int(r.text.split()[1]) % 20 == r.stream for r in pages)
