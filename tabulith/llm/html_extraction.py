@@ -3,7 +3,10 @@
 A page is cut into blocks at block-level tags. The first pass classifies each block on its own: by
 link density (characters in links), length, and stop-word density over short lists for several
 languages. Blocks in boilerplate containers (navigation, headers, footers, asides, forms, containers whose
-class or id names adverts, notices, comments and the like) are bad. The second pass gives every ambiguous
+class or id names adverts, notices, comments and the like) are bad; outside an article, and on an article
+itself, such a name counts only if the container holds no more than half of the text of the page's articles, or
+of the page where it has none. In an article, links make a block bad only if it is short and all link. Where the
+page's long blocks fit none of the languages, length and links alone decide. The second pass gives every ambiguous
 block (short, or nearly good) the label of its nearest decided neighbours in page order: that of both if
 they agree, else that of the nearer one by characters between; where a page marks its article, blocks of
 the article look only at its good blocks, and are good if there is none.
@@ -16,6 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -36,7 +40,7 @@ STOP_WORDS = frozenset(
     " el los las y del que en un una por con no para es al lo como más su sus se o pero este esta entre".split()
 )
 SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video textarea select option datalist".split())
-BOILER = frozenset("nav header footer aside form menu button dialog fieldset label figcaption".split())
+BOILER = frozenset("nav header footer aside form menu button dialog fieldset label".split())
 BLOCK = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section select summary table tbody td textarea tfoot th thead tr ul".split()
 )
@@ -62,6 +66,7 @@ class Block:
     linked: int  # characters within links
     bad: bool  # in a boilerplate container
     main: bool  # in the page's article
+    marked: tuple[int, ...] = ()  # containers around it whose name is boilerplate, if they don't hold most of the text
     label: str = ""
 
 
@@ -69,7 +74,8 @@ def cut_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     pieces: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # open containers: (tag, bad, main)
+    stack: list[tuple[str, bool, bool, int]] = []  # open containers: (tag, bad, main, number if its name is to be judged by its share of the text)
+    numbers = 0
     link = False
     at = 0
 
@@ -77,8 +83,8 @@ def cut_blocks(page: str) -> list[Block]:
         nonlocal linked
         text = SPACES.sub(" ", "".join(pieces)).strip()
         if text:
-            bad = any(b for _, b, _ in stack)
-            blocks.append(Block(text, min(linked, len(text)), bad, any(m for _, _, m in stack)))
+            bad = any(b for _, b, _, _ in stack)
+            blocks.append(Block(text, min(linked, len(text)), bad, any(m for _, _, m, _ in stack), tuple(k for _, _, _, k in stack if k)))
         pieces.clear()
         linked = 0
 
@@ -128,35 +134,70 @@ def cut_blocks(page: str) -> list[Block]:
         if name in VOID or found[3].endswith("/"):
             continue
         if name in BOILER or name in MAIN or name in ("div", "section", "ul", "ol", "table", "td", "p", "span", "li", "dl", "figure"):
-            inside = any(m for _, _, m in stack)
+            inside = any(m for _, _, m, _ in stack)
+            number = 0
             bad = name in BOILER and not (inside and name == "header")
             if not bad and found[3]:
                 for key, *values in ATTRIBUTE.findall(found[3]):
                     value = next((v for v in values if v), "")
                     if inside:
                         value = HEADING.sub("", value)
-                    bad = bad or (value.lower() in ROLES if key.lower() == "role" else bool(MARKED.search(value)))
+                    if key.lower() == "role":
+                        bad = bad or value.lower() in ROLES
+                    elif MARKED.search(value):
+                        if inside and name not in MAIN:
+                            bad = True
+                        elif not number:
+                            numbers += 1
+                            number = numbers
             if name == "p":
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == "p":
                         del stack[i]
                         break
-            stack.append((name, bad, name in MAIN))
+            stack.append((name, bad, name in MAIN, number))
     flush()
+    judge_marked(blocks)
     return blocks
 
 
-def first_pass(block: Block) -> str:
+def judge_marked(blocks: list[Block]) -> None:
+    """Blocks in containers of a boilerplate name are bad, unless the container holds most of the text of articles, or of the page without one."""
+    counted = [b for b in blocks if not b.bad]
+    counted = [b for b in counted if b.main] or counted
+    total, held = 0, Counter()
+    for b in counted:
+        total += len(b.text)
+        for k in b.marked:
+            held[k] += len(b.text)
+    for b in blocks:
+        b.bad = b.bad or any(2 * held[k] <= total for k in b.marked)
+
+
+def stop_words(text: str) -> tuple[int, int]:
+    words = text.split()
+    return sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words), len(words)
+
+
+def known_language(blocks: list[Block]) -> bool:
+    """Whether the long blocks that may be text have the stop words of one of the languages."""
+    counts = [stop_words(b.text) for b in blocks if not b.bad and len(b.text) >= SHORT and b.linked <= LINKS * len(b.text)]
+    return sum(s for s, _ in counts) >= STOP_LOW * sum(n for _, n in counts)
+
+
+def first_pass(block: Block, known: bool) -> str:
     """good, bad, or an ambiguous label: short, near."""
     if block.bad:
         return "bad"
     size = len(block.text)
-    if block.linked > LINKS * size or block.text[0] == "©":
+    if block.linked > LINKS * size and (not block.main or (size < SHORT and block.linked == size)) or block.text[0] == "©":
         return "bad"
-    words = block.text.split()
-    stops = sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / len(words)
     if size < SHORT:
         return "short"
+    if not known:
+        return "good" if size >= LONG else "near"
+    found, n = stop_words(block.text)
+    stops = found / n
     if stops >= STOP_HIGH:
         return "good" if size >= LONG else "near"
     if stops >= STOP_LOW:
@@ -203,8 +244,9 @@ def second_pass(blocks: list[Block]) -> None:
 def main_text(page: str | None) -> str:
     """The page's good blocks, in page order, joined by spaces."""
     blocks = cut_blocks(page or "")
+    known = known_language(blocks)
     for b in blocks:
-        b.label = first_pass(b)
+        b.label = first_pass(b, known)
     second_pass(blocks)
     marked = any(b.main and b.label == "good" for b in blocks)
     return " ".join(b.text for b in blocks if b.label == "good" and (b.main or not marked))

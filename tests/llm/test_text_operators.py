@@ -120,6 +120,23 @@ def test_html_rules():
     assert main_text("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+def test_html_drops_no_text_of_articles_or_of_other_languages():
+    from tabulith.llm.html_extraction import main_text
+
+    body = ("The cat sat on the mat and it was as happy as the dog that lay by the fire in the hall. " * 4).strip()
+    for name in ("content has-sidebar", "no-comments", "right-sidebar", "with-nav"):
+        assert main_text(f'<div class="{name}"><article><p>{body}</p></article><div class="sidebar"><p>{body}</p></div></div>') == body
+        assert main_text(f'<div id="{name}"><p>{body}</p></div><p>And so on.</p>').startswith(body)
+    assert main_text(f'<main class="has-sidebar"><article class="post no-comments"><p>{body}</p></article></main>') == body
+    assert main_text(f'<article><p>{body}</p></article><div id="comments"><article><p>I am of the same mind as you.</p></article></div>') == body
+    assert main_text(f"<article><p>{body}</p><figure><img src=x><figcaption>A cat.</figcaption></figure></article>") == f"{body} A cat."
+    assert main_text(f"<article><p>{body}</p><ol><li>Doe: <a href=x>On the cats of the hall</a>, 1999.</li></ol></article>") == f"{body} Doe: On the cats of the hall, 1999."
+    polish = "Wczoraj wieczorem nad rzeką spotkaliśmy starego rybaka, który opowiadał dzieciom historie sprzed wojny. " * 3
+    chinese = "昨天晚上我们在河边遇见了一位老渔夫，他给孩子们讲了许多战争以前的故事。" * 8
+    for text in (polish.strip(), chinese):
+        assert main_text(f"<div><a href=1>{text[:80]}</a></div><div><p>{text}</p></div>") == text
+
+
 def test_html_query_keeps_the_articles(spark, sf_dir):
     import html as entities
 
