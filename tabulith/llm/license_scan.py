@@ -1,13 +1,14 @@
 """License scans with DataFrame operations only: MinHash bands over text windows, then exact containment.
 
-Templates and texts are five-word shingles. For a template of n shingles, texts are read in overlapping
-windows of 2n shingles, one every n: any occurrence lies whole in some window. A window that contains
-CONTAINED of the template has a Jaccard similarity of at least 0.8 / 2.2 = 0.36 with it; BANDS single
-MinHashes miss it with a probability below 0.64 ^ 32, one in a million. Windows and templates meet by an
-equi-join on (n, band, MinHash), and a candidate counts if the window really holds the share CONTAINED
-of the template's distinct shingles.
-
-Only windows that hold a shingle of some template are hashed, and only texts that hold an anchor (a word of
+Templates and texts are five-word shingles. A template of n shingles is in a text if some stretch of 2n
+shingles, wherever it begins, holds the share CONTAINED of the template's distinct ones. Such a stretch can
+begin at a template's shingle, so windows of 2.5n, one every n / 2 where a template's shingle is among the
+first n / 2, hold it whole. Windows only find candidates: by an equi-join on (n, band, MinHash), where a
+window's MinHashes are those of its shingles that are in any template. Their Jaccard similarity is at least 0.8 / 2.7 =
+0.29 even if all else in the window is from other templates; BANDS single MinHashes then miss it with a probability
+below 0.71 ^ 32, two in a hundred thousand. A candidate counts by the best of its stretches of 2n.
+
+Only texts that hold an anchor (a word of
 each template shingle, or where it has only short ones the shingle itself) are cut into words: others
 contain nothing of any template, so nothing can be lost. Each row is worked on by itself; templates, a table given with the
 code, are the only thing that is broadcast.
@@ -111,8 +112,23 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
     return made.select("license", "template", F.array_distinct("_all").alias("_own"), F.size("_all").alias("_n"))
 
 
+def best_stretch() -> Column:
+    """_share and _from of the stretch of 2 * _n shingles with the most of _own, of those that begin at one of _hits before _step; the first of equals. Null if there is none."""
+    reach = 2 * F.col("_n")
+
+    def stretch(h: Column) -> Column:
+        held = F.filter("_hits", lambda x: (x["i"] >= h["i"]) & (x["i"] < h["i"] + reach))
+        return F.struct((F.size(F.array_distinct(F.transform(held, lambda x: x["x"]))) / F.size("_own")).alias("_share"), (-h["i"]).alias("_back"))
+
+    starts = F.filter("_hits", lambda h: h["i"] < F.col("_step"))
+    # where one stretch holds all hits, no other holds more
+    one = F.element_at("_hits", -1)["i"] - F.element_at("_hits", 1)["i"] < reach
+    best = F.array_max(F.transform(F.when(one, F.slice(starts, 1, 1)).otherwise(starts), stretch))
+    return F.struct(best["_share"].alias("_share"), (-best["_back"]).alias("_from"))
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per row of docs: key, licenses (names, sorted) and matches (template, first word, share contained; best window of each template)."""
+    """Per row of docs: key, licenses (names, sorted) and matches (template, first word, share contained; best stretch of each template)."""
     spark = docs.sparkSession
     known = template_table(spark, templates)
     sizes = sorted({r["_n"] for r in known.select("_n").collect()})
@@ -122,20 +138,21 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: st
     rows = stored(docs.select(F.col(key).alias("_key"), F.when(gate, F.col(text)).alias("_text")).withColumn("_row", F.monotonically_increasing_id()), "license-rows")
     # stored, so that the words are cut once a text, not once a shingle
     cut = stored(rows.filter(F.col("_text").isNotNull()).select("_row", word_array(F.col("_text")).alias("_words")), "license-words").select("_row", shingle_array(F.col("_words")).alias("_all"))
-    met = F.filter(F.transform("_all", lambda s, i: F.when(F.array_contains(listed, s), i)), lambda i: i.isNotNull())
-    hot = stored(cut.withColumn("_met", met).filter(F.size("_met") > 0), "license-hot")
-    sized = hot.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in sizes])))
-    near = F.array_distinct(F.flatten(F.transform("_met", lambda i: F.array(F.floor(i / F.col("_n")).cast("int") - 1, F.floor(i / F.col("_n")).cast("int")))))
-    windows = (
-        sized.withColumn("_window", F.explode(F.filter(near, lambda w: w >= 0)))
-        .select("_row", "_n", (F.col("_window") * F.col("_n")).alias("_at"), F.expr("slice(_all, _window * _n + 1, 2 * _n)").alias("_held"))
-        .filter(F.size("_held") > 0)
+    known_only = F.transform("_all", lambda x: F.when(F.array_contains(listed, x), x))
+    hot = stored(cut.select("_row", known_only.alias("_all")).filter(F.size(F.array_compact("_all")) > 0), "license-hot")
+    sized = hot.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in sizes]))).withColumn("_step", F.greatest(F.lit(1), F.floor(F.col("_n") / 2).cast("int")))
+    near = F.array_distinct(F.array_compact(F.transform("_all", lambda x, i: F.when(x.isNotNull(), F.floor(i / F.col("_step")).cast("int")))))
+    windows = sized.withColumn("_window", F.explode(near)).select(
+        "_row", "_n", "_step", (F.col("_window") * F.col("_step")).alias("_at"), F.expr("slice(_all, _window * _step + 1, 2 * _n + _step)").alias("_held")
     )
-    band = lambda held: F.posexplode(min_hashes(F.col(held))).alias("_band", "_min")
+    band = lambda held: F.posexplode(min_hashes(F.array_compact(held))).alias("_band", "_min")
     candidates = (
-        windows.select("_row", "_n", "_at", "_held", band("_held"))
+        windows.select("_row", "_n", "_step", "_at", "_held", band("_held"))
         .join(F.broadcast(known.select("license", "template", "_own", "_n", band("_own"))), ["_n", "_band", "_min"])
-        .withColumn("_share", F.size(F.array_intersect("_held", "_own")) / F.size("_own"))
+        .filter(F.size(F.array_intersect("_held", "_own")) / F.size("_own") >= CONTAINED)
+        .withColumn("_hits", F.filter(F.transform("_held", lambda x, i: F.when(F.array_contains("_own", x), F.struct(i.alias("i"), x.alias("x")))), lambda h: h.isNotNull()))
+        .withColumn("_stretch", best_stretch())
+        .select("_row", "license", "template", F.col("_stretch._share").alias("_share"), (F.col("_at") + F.col("_stretch._from")).alias("_at"))
         .filter(F.col("_share") >= CONTAINED)
     )
     best = candidates.groupBy("_row", "template").agg(F.max(F.struct("_share", (-F.col("_at")).alias("_back"), F.col("license"))).alias("_best"))

@@ -179,6 +179,24 @@ def test_license_scan(spark, sf_dir):
     assert queries.QUERIES["op7_license_scan"](spark, sf_dir).count() == table(spark, sf_dir, "documents").count()
 
 
+def test_license_wherever_it_stands(spark):
+    """An edited notice against containment at every offset."""
+    from tabulith.llm.license_scan import scan, words_of
+
+    notice = " ".join(f"word{i}" for i in range(44))
+    edited = notice.split()[:22] + [f"new{i}" for i in range(20)] + notice.split()[22:]
+    gone = [w for i, w in enumerate(notice.split()) if i % 6]
+    texts = [" ".join([f"a{i}" for i in range(k)] + edited + [f"b{i}" for i in range(60)]) for k in range(80)]
+    texts += [" ".join(gone), " ".join(notice.split()[:24] + ["far"] * 60 + notice.split()[24:]), f"{notice} {' '.join(edited)}"]
+    cut = lambda t: [tuple(w[i : i + 5]) for w in [words_of(t)] for i in range(len(w) - 4)]
+    want, n = set(cut(notice)), len(cut(notice))
+    share = [max(len(want & set(have[s : s + 2 * n])) / len(want) for s in range(len(have))) for have in map(cut, texts)]
+    got = {r.doc_id: r for r in scan(documents(spark, list(enumerate(texts))), [("N", notice)]).collect()}
+    for i, x in enumerate(share):
+        assert [(m.template, m.share) for m in got[i].matches] == ([(0, round(x, 6))] if x >= 0.8 else []), i
+    assert [got[k].matches[0].first_word for k in range(80)] == list(range(80)) and min(share[:80]) == 0.9 and max(share[80:82]) < 0.8
+
+
 # --- tokens ---
 
 
