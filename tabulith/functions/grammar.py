@@ -37,6 +37,7 @@ SPARSE_CHARS = 400
 MAX_GAP = 2
 DENSE_PAGES, DENSE_FINISH, DENSE_QTY = 3, 20, 50
 TITLE_PAGES = 6
+REFER_LINES, REFER_SHORT, REFER_AHEAD = 7, 200, 400
 
 # Line roles.
 ROLE_COLUMN_WORDS = ["QTY", "QUANTITY", "DESCRIPTION", "CATALOG", "MODEL", "PRODUCT", "FINISH", "MFR", "MANUFACTURER", "NOTES", "NUMBER", "NO"]

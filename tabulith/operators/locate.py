@@ -193,14 +193,18 @@ def duplicate_regions(d, hashes):
 
 @relation("book_pages", "region_floor")
 def title_reconcile(d, pages, floor):
-    """The first title line of each page: answered by a region that begins within six pages, else downstream, referred or unreconciled."""
-    cell = d.explode_from(f"(SELECT stream, page, text AS whole, {d.split('text', chr(92) + 'n')} AS parts FROM {pages}) s", "parts", "text", "place")
+    """The first title line of each page: answered by a region that begins within six pages, else referred (in the seven lines below, and where these are short at the head of the next page), downstream or unreconciled."""
+    ahead = f"lead(substring(text, 1, {g.REFER_AHEAD})) OVER (PARTITION BY stream ORDER BY page)"
+    cell = d.explode_from(f"(SELECT stream, page, {ahead} AS ahead, {d.split('text', chr(92) + 'n')} AS parts FROM {pages}) s", "parts", "text", "place")
+    below = d.join(d.part("parts", "place + 2", str(g.REFER_LINES)), " ")
     return f"""
   SELECT t.stream, t.page, t.title,
     CASE WHEN {d.any(f'f.last_page >= t.page AND f.first_page - t.page <= {g.TITLE_PAGES}')} THEN 'answered'
-      WHEN {d.any(d.has('t.whole', g.REFER))} THEN 'stub'
+      WHEN {d.any(d.has('t.below', g.REFER))} THEN 'stub'
       WHEN {d.any('f.first_page > t.page')} THEN 'downstream' ELSE 'unreconciled' END AS verdict
-  FROM (SELECT stream, page, whole, trim(text) AS title, row_number() OVER (PARTITION BY stream, page ORDER BY place) AS rn FROM {cell} WHERE {d.has('text', g.SETS_TITLE)}) t
+  FROM (
+    SELECT stream, page, title, rn, CASE WHEN length(below) < {g.REFER_SHORT} THEN below || ' ' || coalesce(ahead, '') ELSE below END AS below
+    FROM (SELECT stream, page, ahead, {below} AS below, trim(text) AS title, row_number() OVER (PARTITION BY stream, page ORDER BY place) AS rn FROM {cell} WHERE {d.has('text', g.SETS_TITLE)}) q) t
   LEFT JOIN {floor} f ON f.stream = t.stream AND f.accepted
   WHERE rn = 1
   GROUP BY t.stream, t.page, t.title"""

@@ -239,3 +239,22 @@ def test_every_document_is_a_page_of_a_book_once(spark):
     pages = apply(spark, "book_pages", lines=lines(spark, ["x"]), documents=docs).filter("kind = 'filler'").collect()
     assert sorted(r.text for r in pages) == sorted(f"text {i}" for i in range(200) if i != 7)
     assert all(int(r.text.split()[1]) % 20 == r.stream for r in pages)
+
+
+def test_titles_look_for_a_reference_below_and_on_the_next_page(spark):
+    title, refer = "HARDWARE SETS", "Refer to Section 08 71 00"
+    long = "\n".join(["x" * 40] * 7)
+    books = [
+        ([f"text\n{title}", f"{refer}"], "stub"),  # at the foot of a page
+        ([f"{title}\n{refer}"], "stub"),
+        ([f"{title}\n" + "a\n" * 6 + refer], "stub"),
+        ([f"{title}\n" + "a\n" * 7 + refer], "unreconciled"),  # the eighth line below
+        ([f"{refer}\n{title}"], "unreconciled"),  # above the title
+        ([f"{title}\n{long}", refer], "unreconciled"),  # the lines below are long enough
+        ([title, "x" * 398 + " " + refer], "unreconciled"),  # past the 400th character
+        ([title, "no", refer], "unreconciled"),  # the page after the next
+    ]
+    pages = spark.createDataFrame([(k, i + 1, "filler", t) for k, (texts, _) in enumerate(books) for i, t in enumerate(texts)], "stream long, page long, kind string, text string")
+    floor = spark.createDataFrame([], "stream long, first_page long, last_page long, accepted boolean")
+    got = {(r.stream, r.page): r.verdict for r in apply(spark, "title_reconcile", book_pages=pages, region_floor=floor).collect()}
+    assert got == {(k, 1): verdict for k, (_, verdict) in enumerate(books)}
