@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tabulith.functions.provider import EFFORT, MAX_TOKENS, MODEL, SCHEMA, SYSTEM
 from tabulith.plans.graph import relation
 
 UNITS = ["EA", "EA.", "EA-R", "Ea", "Ea.", "SET", "SETS", "PR", "PRS", "PAIR", "PAIRS", "EACH"]
@@ -42,8 +43,8 @@ def prompt_render(d, buckets, rows):
 
 @relation("prompt_render")
 def prompt_fingerprint(d, prompts):
-    """The first 32 hex digits of the SHA-256 of a request, keys in order."""
-    request = "'{\"effort\": \"low\", \"max_tokens\": 12000, \"model\": \"baseline\", \"user\": \"' || prompt || '\"}'"
+    """The first 32 hex digits of the SHA-256 of a request's JSON, keys in order; functions.provider.fingerprint gives the same."""
+    request = d.json(d.record(effort=d.text(EFFORT), max_tokens=str(MAX_TOKENS), model=d.text(MODEL), schema=d.text(SCHEMA), system=d.text(SYSTEM), user="prompt"))
     return f"SELECT stream, seq, n_lines, substring({d.sha256(request)}, 1, 32) AS fingerprint FROM {prompts}"
 
 
@@ -63,23 +64,93 @@ def llm_cache_join(d, prints, cache):
 
 @relation("baseline_components", query=False)
 def provider_answers(d, components):
-    """Answers as a provider gives them, with the faults that providers have, by block number: words lost, recased or joined, anchors made up or claimed twice."""
+    """Answers as a provider gives them, with the faults that providers have, by block number: words lost, recased or joined, anchors made up or claimed twice, headings taken for components."""
     source = "trim(coalesce(description, '') || ' ' || coalesce(catalog_number, ''))"
     return f"""
   SELECT stream, seq, anchor, rn, source,
     CASE WHEN seq % 11 = 0 THEN {d.swap('source', ' [^ ]+$', '')} WHEN seq % 7 = 0 THEN lower(source) || ',' WHEN seq % 5 = 0 THEN replace(source, ' ', '-') ELSE source END AS answer,
-    CASE WHEN seq % 17 = 0 AND rn = 1 THEN 'p0-L00' WHEN seq % 13 = 0 THEN coalesce(before, anchor) ELSE anchor END AS claimed
+    CASE WHEN seq % 17 = 0 AND rn = 1 THEN 'p0-L00' WHEN seq % 13 = 0 THEN coalesce(before, anchor) ELSE anchor END AS claimed,
+    seq % 29 = 0 AND rn = 1 AS pseudo, CASE WHEN seq % 29 = 0 AND rn = 1 THEN 'heading' END AS pseudo_reason
   FROM (SELECT stream, seq, anchor, {source} AS source, row_number() OVER (PARTITION BY stream, seq ORDER BY anchor) AS rn, lag(anchor) OVER (PARTITION BY stream, seq ORDER BY anchor) AS before FROM {components}) q"""
 
 
+def level(d, answer: str, source: str) -> str:
+    """How well the words of an answer, an array, hold those of its lines."""
+    bag = lambda x: d.join(d.sorted(x), " ")
+    a, s = norm_tokens(d, answer), norm_tokens(d, source)
+    return f"CASE WHEN {bag(answer)} = {bag(source)} THEN 'strict' WHEN {bag(a)} = {bag(s)} OR {d.join(a, '')} = {d.join(s, '')} THEN 'normalized' ELSE 'failed' END"
+
+
+def without(d, words: str, value: str) -> str:
+    """An array of words without the last one that equals value, if one does."""
+    back = f"coalesce({d.back_place(words, value)}, 0)"
+    n = d.size(words)
+    return f"CASE WHEN {back} > 0 THEN {d.concat(d.part(words, '1', f'{n} - {back}'), d.part(words, f'{n} - {back} + 2', f'{back} - 1'))} ELSE {words} END"
+
+
+def count_of(d, words: str, value: str) -> str:
+    return d.size(d.where(words, "t", f"t = {value}"))
+
+
+@relation("provider_answers", "catalog_detach")
+def recounted(d, answers, detached):
+    """Conservation of the components whose catalog number gave a word up to its column, counted again without that word: out of the answer where it is in it, and out of its lines where they then have it more often."""
+    return f"""
+  SELECT stream, seq, anchor, role, {level(d, 'ta', 'ts')} AS level, {level(d, 'out', 'src')} AS new_level
+  FROM (
+    SELECT *, CASE WHEN {count_of(d, 'ts', 'value')} > {count_of(d, 'out', 'value')} THEN {without(d, 'ts', 'value')} ELSE ts END AS src
+    FROM (
+      SELECT a.stream, a.seq, a.anchor, m.role, m.value, a.ta, a.ts, {without(d, 'a.ta', 'm.value')} AS out
+      FROM (SELECT stream, seq, anchor, {tokens(d, 'answer')} AS ta, {tokens(d, 'source')} AS ts FROM {answers}) a JOIN {detached} m ON m.stream = a.stream AND m.seq = a.seq AND m.anchor = a.anchor) q) q"""
+
+
+@relation("provider_answers", "conservation", "recounted")
+def assembled_components(d, answers, levels, again):
+    """What is delivered: the answer, or the baseline split of its line where words were lost (the level is then what counting again says, and the failure stays marked unless that cleared it). Pseudo components are demoted, not delivered."""
+    return f"""
+  SELECT a.stream, a.seq, a.anchor, CASE WHEN l.level = 'failed' THEN a.source ELSE a.answer END AS text, coalesce(r.new_level, l.level) AS level,
+    l.level = 'failed' AS fell_back_to_split_hint, l.level = 'failed' AND coalesce(r.new_level, 'failed') = 'failed' AS conservation_failed
+  FROM {answers} a JOIN {levels} l ON l.stream = a.stream AND l.seq = a.seq AND l.anchor = a.anchor
+  LEFT JOIN (SELECT stream, seq, anchor, min(new_level) AS new_level FROM {again} GROUP BY stream, seq, anchor) r ON r.stream = a.stream AND r.seq = a.seq AND r.anchor = a.anchor
+  WHERE NOT a.pseudo"""
+
+
+@relation("provider_answers", "conservation")
+def demoted(d, answers, levels):
+    """Components that the provider took for headings or instructions, with the reason and what they would have been."""
+    return f"""
+  SELECT a.stream, a.seq, a.anchor, a.source AS text, a.pseudo_reason AS reason, {d.json(d.record(answer='a.answer', level='l.level'))} AS was
+  FROM {answers} a JOIN {levels} l ON l.stream = a.stream AND l.seq = a.seq AND l.anchor = a.anchor WHERE a.pseudo"""
+
+
+@relation("provider_answers", "rotated_lines", "border_lines", "lines", query=False)
+def swept_answers(d, answers, rotated, border, lines):
+    """Answers that swept a word of the page's border up: the first border line of the page is claimed too, and its words end the text."""
+    return f"""
+  SELECT a.stream, a.seq, a.anchor, a.answer || ' ' || b.text AS answer, b.anchor AS also
+  FROM (SELECT * FROM {answers} WHERE seq % 3 = 1) a JOIN {lines} l ON l.stream = a.stream AND l.anchor = a.anchor
+  JOIN (SELECT stream, page, min(line) AS line FROM {rotated} GROUP BY stream, page) r ON r.stream = l.stream AND r.page = l.page
+  JOIN {border} b ON b.stream = r.stream AND b.page = r.page AND b.line = r.line"""
+
+
+@relation("swept_answers", "rotated_lines", "border_lines")
+def rotated_excised(d, swept, rotated, border):
+    """Swept answers without the border: the anchor is dropped, and each of its line's words is cut once from the text that holds it."""
+    state = lambda word, left: d.record(word=word, rest=left)
+    folded = d.fold("gone", state("''", "toks"), "a", "w", state("w.word", without(d, "a.rest", "w.word")))
+    gone = d.map(tokens(d, "line_text"), "t", state("t", d.none("STRING")))
+    return f"""
+  SELECT stream, seq, anchor, {d.join('folded.rest', ' ')} AS answer, 1 AS rotated_lines_dropped
+  FROM (SELECT stream, seq, anchor, {folded} AS folded FROM (
+    SELECT s.stream, s.seq, s.anchor, {tokens(d, 's.answer')} AS toks, {gone.replace('line_text', 'b.text')} AS gone
+    FROM {swept} s JOIN {rotated} r ON r.stream = s.stream AND r.anchor = s.also JOIN {border} b ON b.stream = s.stream AND b.anchor = s.also) q) q"""
+
+
 @relation("provider_answers")
 def conservation(d, answers):
     """Whether an answer holds the words of its lines: strict as bags, normalized (case and punctuation aside, or joined up), or failed."""
-    a, s = tokens(d, "answer"), tokens(d, "source")
-    bag = lambda x: d.join(d.sorted(x), " ")
     return f"""
-  SELECT stream, seq, anchor, CASE WHEN {bag('ta')} = {bag('ts')} THEN 'strict' WHEN {bag('na')} = {bag('ns')} OR {d.join('na', '')} = {d.join('ns', '')} THEN 'normalized' ELSE 'failed' END AS level
-  FROM (SELECT *, {norm_tokens(d, 'ta')} AS na, {norm_tokens(d, 'ts')} AS ns FROM (SELECT stream, seq, anchor, {a} AS ta, {s} AS ts FROM {answers}) t) n"""
+  SELECT stream, seq, anchor, {level(d, 'ta', 'ts')} AS level FROM (SELECT stream, seq, anchor, {tokens(d, 'answer')} AS ta, {tokens(d, 'source')} AS ts FROM {answers}) t"""
 
 
 @relation("provider_answers")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from tabulith.plans.graph import relation
 
 PAGE_WIDTH, PAGE_HEIGHT, PAD = 612, 792, 2
@@ -39,21 +42,31 @@ def slug(d, pages):
     return f"SELECT page_id, {form} AS stem, coalesce(nullif(substring({d.swap(form, '^[._-]+|[._-]+$', '')}, 1, 48), ''), 'upload') AS upload FROM {pages} WHERE url IS NOT NULL"
 
 
+SEARCHES = ["type 3", "GROUP NO. 7", "p1-L", "not there"]
+
+
 @relation("set_records")
 def set_search(d, sets):
-    """Sets whose number, description or header holds the text, whatever its case."""
-    return f"SELECT stream, seq, set_number FROM {sets} WHERE lower(coalesce(set_number, '') || ' ' || coalesce(description, '') || ' ' || coalesce(header_anchor, '')) LIKE '%type 4%'"
+    """Sets whose number, description or header holds a text, whatever its case; a row for each text that finds the set."""
+    found = f"instr(lower(coalesce(set_number, '') || ' ' || coalesce(description, '') || ' ' || coalesce(header_anchor, '')), lower(search)) > 0"
+    cell = d.explode_from(f"(SELECT *, {d.list(*map(d.text, SEARCHES))} AS searches FROM {sets}) s", "searches", "search", "place")
+    return f"SELECT search, stream, seq, set_number FROM {cell} WHERE {found}"
+
+
+def select_sets(sets: DataFrame, project: str | None = None, seqs: list[int] | None = None) -> DataFrame:
+    """Sets of the projects whose name (stream) contains a text, and of the given numbers; None lets all through."""
+    out = sets if project is None else sets.filter(F.col("stream").cast("string").contains(project))
+    return out if seqs is None else out.filter(F.col("seq").isin(*seqs))
 
 
-@relation("set_records", "file_verdict", "assembly_summary")
-def catalog_streams(d, sets, verdicts, summary):
-    """A listing of streams: corpus and uploads (every seventh), their sizes, whether a stream repeats another's sets, and its place in the list."""
+@relation("set_records", "file_verdict", "assembly_summary", "region_twins")
+def catalog_streams(d, sets, verdicts, summary, twins):
+    """A listing of streams: corpus and uploads (every seventh), their sizes, the confidence of their components, whether a region of theirs is a copy, and their place in their project's list (ten streams)."""
     return f"""
-  SELECT stream, origin, n_sets, n_components, n_empty, verdict, duplicate, row_number() OVER (PARTITION BY origin ORDER BY duplicate, stream) AS place
+  SELECT stream, origin, n_sets, n_components, n_empty, high, medium, low, verdict, duplicate, row_number() OVER (PARTITION BY origin, {d.div('stream', '10')} ORDER BY duplicate, stream) AS place
   FROM (
-    SELECT s.stream, CASE WHEN s.stream % 7 = 6 THEN 'upload' ELSE 'corpus' END AS origin, s.n_sets, s.n_components, s.n_empty, v.verdict, coalesce(t.shared, 0) = s.n_sets AS duplicate
-    FROM {summary} s LEFT JOIN {verdicts} v ON v.stream = s.stream
-    LEFT JOIN (SELECT a.stream, count(DISTINCT a.set_number) AS shared FROM {sets} a JOIN {sets} b ON a.set_number = b.set_number AND a.stream > b.stream GROUP BY a.stream) t ON t.stream = s.stream) q"""
+    SELECT s.stream, CASE WHEN s.stream % 7 = 6 THEN 'upload' ELSE 'corpus' END AS origin, s.n_sets, s.n_components, s.n_empty, s.high, s.medium, s.low, v.verdict, t.file IS NOT NULL AS duplicate
+    FROM {summary} s LEFT JOIN {verdicts} v ON v.stream = s.stream LEFT JOIN (SELECT DISTINCT file FROM {twins}) t ON t.file = {d.string('s.stream')}) q"""
 
 
 @relation("catalog_streams")
@@ -66,20 +79,32 @@ def catalog_stats(d, streams):
 
 @relation("baseline_components", "set_records")
 def export_json(d, components, sets):
-    """A JSON text a set, keys in order; nulls are written."""
-    text = lambda c: f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || replace({c}, '\"', '\\\\\"') || '\"' END" if d.name == "spark" else f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || replace({c}, '\"', '\\\"') || '\"' END"
-    item = f"'{{\"anchor\": ' || {text('anchor')} || ', \"catalog_number\": ' || {text('catalog_number')} || ', \"description\": ' || {text('description')} || ', \"finish\": ' || {text('finish')} || ', \"mfr\": ' || {text('mfr')} || ', \"unit\": ' || {text('unit')} || '}}'"
+    """A JSON text a set, keys in order, nulls written; components in the order of their anchors (by numbers, not as text)."""
+    number = lambda k: f"CAST({d.cut('anchor', '^p([0-9]+)-L([0-9]+)$', k)} AS BIGINT)"
+    columns = ("anchor", "catalog_number", "description", "finish", "mfr", "qty", "unit")
+    item = d.record(**{c: c for c in columns})
+    kinds = ", ".join(f"{c}: {'DOUBLE' if c == 'qty' else 'STRING'}" for c in columns)
+    none = d.none(f"STRUCT<{kinds}>" if d.name == "spark" else f"STRUCT({kinds.replace(':', '')})")
+    return f"""
+  SELECT s.stream, s.seq, {d.json(d.record(components=f'coalesce(c.items, {none})', description='s.description', header_anchor='s.header_anchor', set_number='s.set_number'))} AS json
+  FROM {sets} s LEFT JOIN (SELECT stream, seq, {d.gather(item, f"{number(1)} * 10000 + {number(2)}")} AS items FROM {components} GROUP BY stream, seq) c ON c.stream = s.stream AND c.seq = s.seq"""
+
+
+@relation("catalog_streams")
+def project_report(d, streams):
+    """One JSON document a project (ten streams): its streams in order, and their totals."""
+    item = d.record(n_components="n_components", n_sets="n_sets", stream="stream", verdict="verdict")
     return f"""
-  SELECT s.stream, s.seq, '{{"components": [' || coalesce(c.items, '') || '], "set_number": "' || s.set_number || '"}}' AS json
-  FROM {sets} s LEFT JOIN (SELECT stream, seq, {d.join(d.gather('item', 'anchor'), ', ')} AS items FROM (SELECT stream, seq, anchor, {item} AS item FROM {components}) i GROUP BY stream, seq) c ON c.stream = s.stream AND c.seq = s.seq"""
+  SELECT project, {d.json(d.record(n_components='n_components', n_sets='n_sets', streams='items'))} AS report
+  FROM (SELECT {d.div('stream', '10')} AS project, CAST(sum(n_components) AS BIGINT) AS n_components, CAST(sum(n_sets) AS BIGINT) AS n_sets, {d.gather(item, 'stream')} AS items FROM {streams} GROUP BY {d.div('stream', '10')}) q"""
 
 
 @relation("catalog_streams", "orders")
 def stale_outputs(d, streams, orders):
-    """Products of earlier runs that this run did not write: the names of all customers' streams, without those now listed."""
+    """Products of an earlier run, whose books had fifty customers, that this run did not write."""
     return f"""
-  SELECT 'stream-' || {d.string(d.div('o_custkey', '75'))} || '.jsonl' AS file FROM {orders}
-  EXCEPT SELECT 'stream-' || {d.string('stream')} || '.jsonl' FROM {streams} WHERE n_components > 1000"""
+  SELECT 'stream-' || {d.string(d.div('o_custkey', '50'))} || '.jsonl' AS file FROM {orders}
+  EXCEPT SELECT 'stream-' || {d.string('stream')} || '.jsonl' FROM {streams}"""
 
 
 @relation("documents")

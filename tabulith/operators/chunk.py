@@ -79,6 +79,29 @@ def duplicate_ids(d, blocks):
     return f"SELECT stream, set_id, count(*) AS n FROM {blocks} GROUP BY stream, set_id HAVING count(*) > 1"
 
 
+@relation("blocks")
+def family_counts(d, blocks):
+    """Blocks of each header family in a stream."""
+    return f"SELECT stream, family, count(*) AS n FROM {blocks} GROUP BY stream, family"
+
+
+@relation("blocks")
+def twin_ids(d, blocks):
+    """Set ids that several streams of a project (ten streams) have, with those streams."""
+    project = d.div("stream", "10")
+    return f"""
+  SELECT project, set_id, {d.join(d.gather(d.string('stream'), 'stream'), ',')} AS streams, count(*) AS n FROM (SELECT DISTINCT {project} AS project, set_id, stream FROM {blocks}) q
+  GROUP BY project, set_id HAVING count(*) > 1"""
+
+
+@relation("block_members", "blocks", "lines")
+def block_texts(d, members, blocks, lines):
+    """The lines of empty blocks as anchors with their first 80 characters: what the census shows of them."""
+    return f"""
+  SELECT m.stream, m.seq, m.anchor, substring(l.text, 1, 80) AS text FROM {members} m JOIN {blocks} b ON b.stream = m.stream AND b.seq = m.seq AND b.empty
+  JOIN {lines} l ON l.stream = m.stream AND l.anchor = m.anchor"""
+
+
 @relation("chunk_blocks", "blocks")
 def chunk_nets(d, lines, blocks):
     """What may have slipped through the cut, a stream."""

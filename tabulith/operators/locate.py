@@ -208,3 +208,52 @@ def title_reconcile(d, pages, floor):
   LEFT JOIN {floor} f ON f.stream = t.stream AND f.accepted
   WHERE rn = 1
   GROUP BY t.stream, t.page, t.title"""
+
+
+@relation("book_pages", "region_floor", query=False)
+def shipped_regions(d, pages, floor):
+    """The pages of accepted regions with their hashes, by file (a stream's book); every fourth book is shipped once more, with a page less or (every eighth) with thirty pages before it, and of others four pages."""
+    hashes = f"""
+      SELECT p.stream, f.region, p.page - f.first_page AS place, f.first_page, substring({d.sha1(f'trim({d.swap("p.text", SPACE + "+", " ")})')}, 1, 16) AS hash
+      FROM {pages} p JOIN {floor} f ON f.stream = p.stream AND f.accepted AND p.page BETWEEN f.first_page AND f.last_page"""
+    size = f"SELECT stream, count(*) AS n FROM {pages} GROUP BY stream"
+    return f"""
+  SELECT {d.string('h.stream')} AS file, n.n AS pages, h.region, h.first_page, h.place, h.hash FROM ({hashes}) h JOIN ({size}) n ON n.stream = h.stream
+  UNION ALL
+  SELECT 'again-' || {d.string('h.stream')}, n.n + CASE WHEN h.stream % 8 = 1 THEN 30 ELSE -1 END, h.region, h.first_page + CASE WHEN h.stream % 8 = 1 THEN 30 ELSE 0 END, h.place, h.hash FROM ({hashes}) h JOIN ({size}) n ON n.stream = h.stream WHERE h.stream % 4 = 1
+  UNION ALL
+  SELECT 'head-' || {d.string('h.stream')}, CAST(4 AS BIGINT), h.region, CAST(1 AS BIGINT), h.place - 1, h.hash FROM ({hashes}) h WHERE h.stream % 4 = 3 AND h.place BETWEEN 1 AND 4"""
+
+
+@relation("shipped_regions", query=False)
+def region_sequences(d, regions):
+    """Regions with the sequence of their pages' hashes; regions with equal sequences are one content."""
+    return f"""
+  SELECT *, {d.sha1(d.join('hashes', ' '))} AS content
+  FROM (SELECT file, pages, region, min(first_page) AS first_page, count(*) AS n, {d.gather('hash', 'place')} AS hashes FROM {regions} GROUP BY file, pages, region) q"""
+
+
+@relation("region_sequences")
+def region_twins(d, keyed):
+    """Regions whose sequence of pages another file's region holds: a longer one as a part, or an equal one in a file of fewer pages (of two equal ones the larger file's is the copy). The twin named is the holder in the smallest file, then the first by name.
+
+    A content meets others by a hash of its first pages (three, or all it has), once a content and not once a file; holders are kept by the two least files, so that nothing gathers a content's files."""
+    cell = d.explode_from(f"(SELECT content, n, hashes, {d.range('0', 'n - 1')} AS parts FROM contents) c", "parts", "place", "k")
+    size = d.explode_from(f"(SELECT content, n, hashes, place, {d.list('1', '2', '3')} AS sizes FROM (SELECT content, n, hashes, place FROM {cell}) p) s", "sizes", "size", "k2")
+    least = f"min({d.record(pages='pages', file='file', first_page='first_page')})"
+    kind = "AS" if d.name == "spark" else "AS MATERIALIZED"
+    return f"""
+  WITH contents {kind} (SELECT content, min(n) AS n, min(hashes) AS hashes FROM {keyed} GROUP BY content),
+  first_holder {kind} (SELECT content, {least} AS one FROM {keyed} GROUP BY content),
+  second_holder {kind} (SELECT k.content, {least} AS two FROM {keyed} k JOIN first_holder f ON f.content = k.content AND k.file <> f.one.file GROUP BY k.content),
+  parts {kind} (SELECT content, n, hashes, place, size, {d.sha1(d.join(d.part('hashes', 'place + 1', 'size'), ' '))} AS start FROM (SELECT content, n, hashes, place, size FROM {size}) s WHERE place + size <= n),
+  inside {kind} (
+    SELECT a.content, p.content AS holder, min(p.place) AS place FROM contents a JOIN parts p ON p.size = least(a.n, 3) AND p.start = {d.sha1(d.join(d.part('a.hashes', '1', 'least(a.n, 3)'), ' '))} AND p.n > a.n AND p.place + a.n <= p.n
+    WHERE {d.join(d.part('p.hashes', 'p.place + 1', 'a.n'), ' ')} = {d.join('a.hashes', ' ')} GROUP BY a.content, p.content),
+  twins {kind} (
+    SELECT k.file, k.region, k.n, h.one AS twin, CAST(0 AS BIGINT) AS place FROM {keyed} k JOIN first_holder h ON h.content = k.content AND h.one.pages < k.pages AND h.one.file <> k.file
+    UNION ALL
+    SELECT k.file, k.region, k.n, CASE WHEN h.one.file = k.file THEN s.two ELSE h.one END, CAST(i.place AS BIGINT) FROM {keyed} k JOIN inside i ON i.content = k.content JOIN first_holder h ON h.content = i.holder LEFT JOIN second_holder s ON s.content = i.holder
+    WHERE h.one.file <> k.file OR s.two IS NOT NULL)
+  SELECT file, region, CAST(n AS BIGINT) AS pages, best.twin.file AS twin, best.twin.first_page + best.place AS twin_first, best.twin.first_page + best.place + n - 1 AS twin_last
+  FROM (SELECT file, region, n, min({d.record(twin='twin', place='place')}) AS best FROM twins GROUP BY file, region, n) b"""

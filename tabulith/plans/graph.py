@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulith.plans.dialect import ORACLE, SPARK, Dialect
-from tabulith.sources.sinks import stored
+from tabulith.sources.sinks import discard, stored
 
 TABLES = frozenset("region nation customer supplier part orders lineitem events documents pages labels benchmark conversations".split())
 _count = itertools.count()
@@ -52,7 +52,9 @@ def render(name: str, dialect: Dialect, given: dict[str, str] | None = None) ->
         return n
 
     last = visit(name)
-    ctes = ",\n".join(f"{n} AS (\n{body}\n)" for n, body in parts)
+    # the oracle computes a relation that several read once
+    kind = "AS" if dialect is SPARK else "AS MATERIALIZED"
+    ctes = ",\n".join(f"{n} {kind} (\n{body}\n)" for n, body in parts)
     return f"WITH {ctes}\nSELECT * FROM {last}" if parts else f"SELECT * FROM {last}"
 
 
@@ -60,7 +62,7 @@ def render(name: str, dialect: Dialect, given: dict[str, str] | None = None) ->
 #: shared folder, which keeps plans small, computes nothing twice and outlives lost executors.
 BORDERS = (
     "lines", "line_roles", "chunk_blocks", "page_class", "candidate_tokens", "legend", "column_schema", "vocabulary", "body_lines", "rule_buckets", "rule_rows", "stitch_tails", "word_line_assign", "tail_words",
-    "column_bands", "slot_zones",
+    "column_bands", "slot_zones", "baseline_components", "region_floor", "region_sequences",
 )
 
 
@@ -87,6 +89,12 @@ def apply(spark: SparkSession, name: str, keep: tuple[str, ...] = (), state: tup
     return spark.sql(render(name, SPARK, views))
 
 
+def forget() -> None:
+    """Let go of the borders that this process has stored, so that the next query computes its own."""
+    discard(*_stored.values())
+    _stored.clear()
+
+
 def upstream(name: str, given: frozenset[str]) -> set[str]:
     """Every relation and table that name is made of, as far as those given."""
     if name in given or name not in RELATIONS:

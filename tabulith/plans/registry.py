@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulith.operators import assemble, catalog, chunk, dossier, geometry, locate, repair, roles, rules  # noqa: F401  they register their relations
+from tabulith.operators import assemble, catalog, chunk, dossier, geometry, jobs, locate, repair, roles, rules  # noqa: F401  they register their relations
 from tabulith.plans.graph import RELATIONS, oracle, over_tables
 from tabulith.sources import documents, schedule, sinks  # noqa: F401
 
@@ -21,4 +21,4 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: over_tables(n) for n, r in RELATIONS.items() if r.query} | {"x0_clusters": x0_clusters, "sink_roundtrip": sink_roundtrip}
-SQL: dict[str, str] = {n: oracle(n) for n in QUERIES if n in RELATIONS} | {"sink_roundtrip": oracle("set_records")}
+SQL: dict[str, str] = {n: oracle(n) for n in QUERIES if n in RELATIONS} | {"sink_roundtrip": oracle("set_records"), "x0_clusters": geometry.x0_clusters_oracle(oracle("start_counts"))}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,7 +19,9 @@ def ship(spark: SparkSession) -> None:
     root = Path(__file__).resolve().parent.parent
     if context.applicationId in _shipped or not root.is_dir():
         return
-    bundle = Path(tempfile.mkdtemp(prefix="tabulith-")) / "tabulith-package.zip"
+    folder = tempfile.mkdtemp(prefix="tabulith-")  # of code, on the driver, which serves it; it goes when the driver ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    bundle = Path(folder) / "tabulith-package.zip"
     with zipfile.ZipFile(bundle, "w", zipfile.ZIP_DEFLATED) as out:
         for path in sorted(root.rglob("*.py")):
             out.write(path, path.relative_to(root.parent))

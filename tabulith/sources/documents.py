@@ -1,7 +1,8 @@
-"""Documents as pages: a source is a file, a document one of its pages.
+"""Documents as pages: a thousand numbers of a source are a file, a document one of its pages.
 
 Books are pages of files in order, with signals and classes; schedules are mixed in, so that every
 page class occurs: a stream's pages become a file in which every ninth page is followed by filler.
+Files and streams are made from keys, of one size however large the tables are, so that no window grows with them.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from tabulith.plans.graph import relation
 @relation("documents", name="scan_pages")
 def scan_pages(d, documents):
     """A page a document: file, page (from 1, in the file), text, chars."""
+    block = d.div("doc_id", "1000")
     return f"""
-  SELECT source AS file, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page, doc_id, text, CAST(length(coalesce(text, '')) AS BIGINT) AS chars
+  SELECT coalesce(source, '') || '-' || {d.string(block)} AS file, row_number() OVER (PARTITION BY source, {block} ORDER BY doc_id) AS page, doc_id, text, CAST(length(coalesce(text, '')) AS BIGINT) AS chars
   FROM {documents}"""
 
 
@@ -30,9 +32,10 @@ def lines_scan(d, documents):
 def book_pages(d, lines, documents):
     """Pages of books: each stream's pages as text, every document with text once as filler after a ninth page, weak and sparse pages, and closing sections.
 
-    A page's place in its book is nine times its turn, so that fillers go between pages; by stream, one to four of them stand together."""
+    A page's place in its book is nine times its turn, so that fillers go between pages; by stream, one to four of them stand together. A thousand documents go into twenty books."""
     run = "(stream % 4 + 1)"
-    filler = f"""SELECT {d.integer('doc_id % 20')} AS stream, doc_id, text, row_number() OVER (PARTITION BY doc_id % 20 ORDER BY doc_id) AS turn FROM {documents} WHERE text IS NOT NULL"""
+    book = f"doc_id % 20 + 20 * {d.div('doc_id', '1000')}"
+    filler = f"""SELECT {d.integer(book)} AS stream, doc_id, text, row_number() OVER (PARTITION BY {book} ORDER BY doc_id) AS turn FROM {documents} WHERE text IS NOT NULL"""
     body = d.join(d.gather("text", "line"), "\n") if d.name == "oracle" else "array_join(transform(array_sort(collect_list(struct(line AS o, text AS v))), x -> x.v), '\\n')"
     newline = "chr(10)"
     body = body.replace("'\n'", newline) if d.name == "oracle" else body

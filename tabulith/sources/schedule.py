@@ -3,7 +3,8 @@
 An order is a hardware set, its line items are component rows. A stream is a book of 75 customers, so
 that streams stay of one size however large the tables are. Every page has a running header, a column
 header, 40 content lines and a footer. Keys decide on the irregular lines: descriptions, door lists, heads,
-notes, outline shells, dropped tails, hyphenated finishes, struck lines.
+notes, outline shells, dropped tails, hyphenated finishes, struck lines, set numbers that recur, blocks of many
+notes, and books that end with a bare header.
 """
 
 from __future__ import annotations
@@ -63,10 +64,11 @@ def schedule_lines(d, orders, lineitem, rows):
     extra = lambda section, text, test: f"SELECT {stream} AS stream, o_orderkey, {section} AS section, 0 AS rn, 0 AS sub, {text} AS text, CAST(NULL AS BIGINT) AS partkey FROM {orders} WHERE {test}"
     listed = d.list(*map(d.text, LEGEND))
     legend = d.explode_from(f"(SELECT *, {listed} AS parts FROM (SELECT DISTINCT {stream} AS stream FROM {orders}) s WHERE stream % 3 = 0) s", "parts", "text", "place")
+    many = d.explode_from(f"(SELECT {stream} AS stream, o_orderkey, {d.range('1', '45')} AS parts FROM {orders} WHERE o_orderkey % 149 = 9) m", "parts", "part", "place")
     tail = "coalesce(' ' || finish, '') || coalesce(' ' || mfr, '')"
     return f"""
   SELECT {stream} AS stream, o_orderkey, 0 AS section, 0 AS rn, 0 AS sub,
-    'Hardware Group No. ' || {key} || CASE WHEN n IS NULL THEN ' - Not Used' WHEN o_orderkey % 41 = 0 THEN ': (Door' ELSE '' END AS text, CAST(NULL AS BIGINT) AS partkey
+    'Hardware Group No. ' || CASE WHEN o_orderkey % 43 = 7 THEN '7' ELSE {key} END || CASE WHEN n IS NULL THEN ' - Not Used' WHEN o_orderkey % 41 = 0 THEN ': (Door' ELSE '' END AS text, CAST(NULL AS BIGINT) AS partkey
   FROM {orders} LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM {lineitem} GROUP BY l_orderkey) c ON o_orderkey = l_orderkey
   UNION ALL {extra(1, "'U' || " + key + " || ')'", 'o_orderkey % 41 = 0')}
   UNION ALL {extra(2, "'Description: Opening type ' || " + d.string('o_orderkey % 9'), 'o_orderkey % 3 = 0')}
@@ -88,6 +90,8 @@ def schedule_lines(d, orders, lineitem, rows):
   UNION ALL {extra(13, "'coordinate all work with the electrical trade'", 'o_orderkey % 6 = 4')}
   UNION ALL {extra(14, "'OPERATION: door normally closed and locked'", 'o_orderkey % 5 = 0')}
   UNION ALL {extra(15, "'2 free egress at all times'", 'o_orderkey % 5 = 0')}
+  UNION ALL SELECT stream, o_orderkey, 14, CAST(part AS INT), 1, 'verify opening ' || {d.string('part')} || ' in the field with care', CAST(NULL AS BIGINT) FROM {many}
+  UNION ALL SELECT {stream}, 900000000000, 17, 0, 0, 'Hardware Group No. 9999', CAST(NULL AS BIGINT) FROM {orders} WHERE {stream} % 4 = 2 GROUP BY {stream}
   UNION ALL SELECT stream, -1, place, 0, 0, text, CAST(NULL AS BIGINT) FROM {legend}
   UNION ALL {extra(16, "'PART ' || " + d.string('o_orderkey % 9 + 1') + " || ' -'", 'o_orderkey % 31 = 3')}"""
 
@@ -117,26 +121,54 @@ def lines(d, placed):
 
 @relation("placed_lines", "schedule_rows", query=False)
 def words(d, placed, rows):
-    """Words of component rows and of column headers with their edges; a few rows are shifted, every fifth stream is ragged, and every fifth page's header stands a point to the right."""
-    column = lambda name, text, when="TRUE": f"SELECT r.stream, p.page, p.line, r.o_orderkey, r.rn, {COLUMNS[name]} AS edge, {text} AS text, r.l_partkey FROM {rows} r JOIN {placed} p ON p.stream = r.stream AND p.o_orderkey = r.o_orderkey AND p.rn = r.rn AND p.section = 10 AND p.sub = 0 WHERE {when}"
-    union = "\n    UNION ALL ".join(
-        [
-            column("qty", "qty"),
-            column("unit", "ltrim(unit)", "unit <> ''"),
-            column("catalog", "catalog"),
-            column("finish", "finish", "finish IS NOT NULL AND NOT dropped"),
-            column("mfr", "mfr", "mfr IS NOT NULL AND NOT dropped"),
-            column("description", d.at(d.split("description", " "), "1"), "TRUE"),
-        ]
-    )
+    """Words of component rows and of column headers with their edges; word tells the words of a page apart. A few rows are shifted, every fifth stream is ragged, and every fifth page's header stands a point to the right."""
+    kinds = [
+        (COLUMNS["qty"], "qty"),
+        (COLUMNS["unit"], "nullif(ltrim(unit), '')"),
+        (COLUMNS["catalog"], "catalog"),
+        (COLUMNS["finish"], "CASE WHEN NOT dropped THEN finish END"),
+        (COLUMNS["mfr"], "CASE WHEN NOT dropped THEN mfr END"),
+        (COLUMNS["description"], d.at(d.split("description", " "), "1")),
+    ]
+    choose = lambda k: "CASE kind " + " ".join(f"WHEN {i} THEN {x[k]}" for i, x in enumerate(kinds)) + " END"
+    cell = d.explode_from(
+        f"""(SELECT p.stream, p.page, p.line, r.l_partkey, r.qty, r.unit, r.catalog, r.finish, r.mfr, r.description, r.dropped, {d.list(*map(str, range(len(kinds))))} AS parts
+      FROM {rows} r JOIN {placed} p ON p.stream = r.stream AND p.o_orderkey = r.o_orderkey AND p.rn = r.rn AND p.section = 10 AND p.sub = 0) c""",
+        "parts", "kind", "place",
+    )
     edges = "CASE text " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HEADER.items()) + " END"
     header = d.explode_from(f"(SELECT stream, page, {d.list(*map(d.text, HEADER))} AS parts FROM {placed} GROUP BY stream, page) h", "parts", "text", "place")
     return f"""
-  SELECT stream, page, line, text, x0, x0 + CAST(5 * length(text) AS DOUBLE) AS x1, top, bottom FROM (
-  SELECT CAST(stream AS BIGINT) AS stream, CAST(page AS BIGINT) AS page, CAST(line AS BIGINT) AS line, text,
+  SELECT stream, page, line, CAST(word AS BIGINT) AS word, text, x0, x0 + CAST(5 * length(text) AS DOUBLE) AS x1, top, bottom FROM (
+  SELECT CAST(stream AS BIGINT) AS stream, CAST(page AS BIGINT) AS page, CAST(line AS BIGINT) AS line, line * 16 + kind AS word, text,
     CAST(edge AS DOUBLE) + CASE WHEN stream % 5 = 0 THEN CAST(l_partkey % 23 AS DOUBLE) WHEN l_partkey % 29 = 0 AND edge = {COLUMNS['finish']} THEN CAST(-40 AS DOUBLE) WHEN l_partkey % 20 = 0 THEN CAST(0.3 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS x0,
     CAST(22 + 16 * line AS DOUBLE) AS top, CAST(30 + 16 * line AS DOUBLE) AS bottom
-  FROM (
-    {union}) q
+  FROM (SELECT stream, page, line, l_partkey, kind, {choose(0)} AS edge, {choose(1)} AS text FROM {cell}) q
+  WHERE text IS NOT NULL
   UNION ALL
-  SELECT CAST(stream AS BIGINT), CAST(page AS BIGINT), CAST(2 AS BIGINT), text, CAST({edges} AS DOUBLE) + CASE WHEN page % 5 = 0 THEN 1 ELSE 0 END, CAST(54 AS DOUBLE), CAST(62 AS DOUBLE) FROM {header}) w"""
+  SELECT CAST(stream AS BIGINT), CAST(page AS BIGINT), CAST(2 AS BIGINT), 32 + place, text, CAST({edges} AS DOUBLE) + CASE WHEN page % 5 = 0 THEN 1 ELSE 0 END, CAST(54 AS DOUBLE), CAST(62 AS DOUBLE) FROM {header}) w"""
+
+
+#: A dotted book's columns: left edges of a set header's first component.
+DOTTED = {"description": 100, "mfr": 220, "qty": 300, "finish": 340}
+
+
+@relation("orders", query=False)
+def dotted_headers(d, orders):
+    """Set headers of books whose first component stands on the header line itself (every sixth order): the words, with their places and edges."""
+    name = d.string("o_orderkey % 9 + 1") + " || '.' || " + d.string("o_orderkey % 10")
+    finish = "CASE o_orderkey % 3 WHEN 0 THEN '613 (OIL RUBBED BRONZE) PER OWNER' WHEN 1 THEN '630 (STAINLESS)' ELSE '626' END"
+    text = f"{name} || ' MORTISE HINGE ' || CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'IVES - ' END || '5BB1 4.5 ' || {d.string('o_orderkey % 8 + 1')} || ' ' || {finish}"
+    cell = d.explode_from(f"(SELECT {d.div('o_custkey', str(CUSTOMERS))} AS stream, o_orderkey, {name} AS set_id, {d.split(text, ' ')} AS parts FROM {orders} WHERE o_orderkey % 6 = 0) c", "parts", "text", "place")
+    blob = "CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 4 END"
+    return f"""
+  SELECT CAST(stream AS BIGINT) AS stream, o_orderkey AS header, set_id, 'bare_dotted' AS family, CAST(place AS BIGINT) AS idx, text,
+    CAST(CASE WHEN place = 0 THEN 72 WHEN place <= 2 THEN {DOTTED['description']} + 40 * (place - 1) WHEN place < 3 + {blob} THEN {DOTTED['mfr']} + 18 * (place - 3) WHEN place = 3 + {blob} THEN {DOTTED['qty']} - place % 2 ELSE {DOTTED['finish']} + 24 * (place - 4 - {blob}) END AS DOUBLE) AS x0
+  FROM {cell}"""
+
+
+@relation("dotted_headers", query=False)
+def dotted_zones(d, headers):
+    """The columns of dotted books, as their column header words measure them."""
+    zone = lambda role, hi: f"SELECT stream, '{role}' AS role, CAST({DOTTED[role]} AS DOUBLE) AS lo, CAST({hi} AS DOUBLE) AS hi, 'header' AS origin FROM {headers} GROUP BY stream"
+    return f"{zone('mfr', DOTTED['qty'])} UNION ALL {zone('qty', DOTTED['finish'])} UNION ALL {zone('finish', 'NULL')}"

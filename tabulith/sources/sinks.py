@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import tempfile
 import uuid
 
@@ -12,16 +14,46 @@ _folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which all executors see; a temporary folder of the driver's where it is unset, as in tests."""
-    own = spark.sparkContext.applicationId
-    return (spark.conf.get("spark.checkpoint.dir", None) or _folders.setdefault(own, f"file://{tempfile.mkdtemp(prefix='tabulith-')}")).rstrip("/")
+    """The folder that all executors see: spark.checkpoint.dir, else the context's checkpoint folder. A local session (tests) gets a temporary one where neither is set; a cluster is refused, because a folder of the driver's would lose data there."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get().rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
+    return _folders.setdefault(spark.sparkContext.applicationId, f"file://{tempfile.mkdtemp(prefix='tabulith-')}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read back."""
-    path = f"{shared_folder(df.sparkSession)}/relations/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def run_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are; clear() deletes it."""
+    return f"{shared_folder(spark)}/tabulith/{spark.sparkContext.applicationId}"
+
+
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write df as a Parquet table in the run's shared folder and read it back: a cut lineage that outlives executors."""
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.options(**{"compression": "zstd", **options}).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that no later plan reads."""
+    for t in tables:
+        delete(t.sparkSession, t._stored_at)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; what was returned over them can't be read any more."""
+    delete(spark, run_folder(spark))
 
 
 def write_parquet(df: DataFrame, path: str, *partition: str) -> None:
@@ -46,3 +78,18 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def stale(existing: DataFrame, declared: DataFrame, name: str = "file") -> DataFrame:
     """Names that exist but that this run did not write."""
     return existing.select(name).distinct().join(declared.select(name), name, "left_anti")
+
+
+def write_report(report: DataFrame, path: str, key: str = "project") -> None:
+    """A JSON document for each row, in a folder of its own by the key; keys in order, nulls written."""
+    row = F.struct(*sorted(c for c in report.columns))
+    report.select(F.col(key), F.to_json(row, {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).text(path)
+
+
+def read_report(spark: SparkSession, path: str) -> dict:
+    """One JSON document; {} where there is none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return {}
+    found = spark.read.option("wholetext", True).text(path).first()
+    return json.loads(found["value"]) if found else {}
