@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulith.plans.ship import ship
+from tabulith.sources.sinks import delete, discard, run_folder, stored
+
+__all__ = ["boxed", "bounded_broadcast", "delete", "dense_index", "discard", "shared_path", "small_batches", "stored", "table", "text_or_empty", "unboxed"]
 
 #: A side is broadcast only after its rows were counted and are at most so many.
 BROADCAST_ROWS = 100_000
 
 
-#: Bytes of rows that go to a Python worker at once.
+#: Bytes of rows that go to a Python worker at once, where the session does not say.
 ARROW_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Bound what a Python worker, and Spark's side of it, hold of df at a time (a longer row goes by itself): a setting of the session, never raised. Sees to it that workers have the package."""
-    ship(df.sparkSession)
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = df.sparkSession.conf.get(name, "64m").lower().removesuffix("b")
-    size = int(held[:-1]) << {"k": 10, "m": 20, "g": 30}[held[-1]] if held[-1:] in "kmg" else int(held)
-    if size <= 0 or size > ARROW_BYTES:
-        df.sparkSession.conf.set(name, str(ARROW_BYTES))
+    """Bound what a Python worker, and Spark's side of it, hold of df at a time (a longer row goes by itself): gives the session's maxBytesPerBatch a value where it has none; a value of the user's own stays. Sees to it that workers have the package."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(ARROW_BYTES))
     return df
 
 
@@ -33,38 +34,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or a temporary one where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            return held.get()
-        found = f"file://{tempfile.mkdtemp(prefix='tabulith-')}"
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return found.rstrip("/")
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tabulith/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: a cut lineage that outlives executors."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._stored_at = path
-    return out
+def boxed(df: DataFrame, **own: Column) -> DataFrame:
+    """df's rows as one column, _row, beside the columns that an operator works on: no name of df's can clash with one of the operator's."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(n) for n, c in own.items()])
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete stored tables that no later plan reads."""
-    for t in tables:
-        spark = t.sparkSession
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t._stored_at)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+def unboxed(df: DataFrame, columns: list[str], **made: Column) -> DataFrame:
+    """The boxed columns again, with what the operator made; a column of a made one's name is replaced."""
+    return df.select(*[F.col(f"_row.`{c}`").alias(c) for c in columns if c not in made], *[c.alias(n) for n, c in made.items()])
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -77,11 +58,13 @@ def dense_index(df: DataFrame, order: list[Column], index: str, name: str) -> Da
 
     Rows are range-partitioned and sorted, stored once with (partition, ordinal), and each
     partition's offset is the sum of the counts before it (one row a partition reaches the driver).
-    The order should be total: rows that tie get their numbers in any order.
+    Rows that tie get their numbers in any order: they are parted by where they came from, so that
+    many of them go to many partitions.
     """
     spark = df.sparkSession
+    tie = df.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
     # the id is partition << 33 | ordinal
-    placed = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()), name)
+    placed = stored(tie.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie").withColumn("_mid", F.monotonically_increasing_id()), name)
     counts = sorted((r["p"], r["n"]) for r in placed.groupBy(F.shiftrightunsigned("_mid", 33).alias("p")).agg((F.max(F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))) + 1).alias("n")).collect())
     offsets, total = [], 0
     for p, n in counts:
