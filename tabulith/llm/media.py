@@ -3,11 +3,13 @@
 mu-law and A-law samples are expanded by tables of 256 entries, made from the companding rules. IMA
 ADPCM blocks are decoded side by side: one numpy step decodes the same nibble of every block. Audio
 is resampled by an integer factor with linear interpolation, over a whole batch of clips at once.
-A stored clip is a RIFF/WAVE file in a binary column.
+A stored clip is a RIFF/WAVE file in a binary column; so is its PCM.
 
 Edges: a null text is stored as an empty one; an empty payload is stored as one unit of padding;
-equal texts give equal values; long texts are one clip each, and clips are taken in groups of a bounded
-number of bytes.
+equal texts give equal values; repeated rows each get theirs; keys keep their type and may be null; an empty table
+gives an empty result; other columns are left out, whatever their names. A long text is one clip, and its PCM up to
+7.3 times as long, so that a text may have 290 MB at most (a value of 2 GB is Spark's limit); clips are taken in
+groups of a bounded number of bytes.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulith.llm.common import small_batches
+from tabulith.llm.common import discard, small_batches, stored
 
 MULAW, ALAW, IMA, PCM = 7, 6, 17, 1
 UNIT, PAD, RATE, FACTOR = 576, 255, 8000, 2
@@ -152,70 +154,127 @@ def padded(body: bytes) -> bytes:
     return body + bytes([PAD]) * (max(1, -(-len(body) // UNIT)) * UNIT - len(body))
 
 
+#: Formats in which texts are stored, by the CRC-32 of the text, with their blocks of bytes.
+CODECS = ((MULAW, 1), (ALAW, 1), (IMA, IMA_BLOCK))
+NAMES = {MULAW: "mulaw", ALAW: "alaw", IMA: "ima"}
+
+
+def as_clip(body: bytes) -> bytes:
+    """A text's bytes, padded, as the samples of a RIFF/WAVE file: by the text, as mu-law, A-law or IMA ADPCM blocks. The payload is the same bytes in each."""
+    format_, block = CODECS[zlib.crc32(body) % len(CODECS)]
+    return to_wave(padded(body), format_, RATE, block)
+
+
 def store_as_audio(rows: DataFrame, text: Column, key: str) -> DataFrame:
-    """key, n_bytes and media: the text's UTF-8 bytes, padded, as mu-law samples of a RIFF/WAVE file."""
+    """key (of its own type), n_bytes and media: the text's UTF-8 bytes as a clip."""
 
     def encoded(batches):
         for batch in batches:
-            bodies = [padded(x.encode()) for x in batch.column("body").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n_bytes"), pa.array([to_wave(b, MULAW) for b in bodies], pa.binary())], names=["key", "n_bytes", "media"])
+            bodies = batch.column("body")
+            sizes = np.cumsum(pc.binary_length(bodies).to_numpy(zero_copy_only=False))
+            for at, to in _groups(sizes):
+                part = batch.slice(at, to - at)
+                clips = pa.array([as_clip(x.encode()) for x in part.column("body").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("n_bytes"), clips], names=["key", "n_bytes", "media"])
 
     body = F.coalesce(text, F.lit(""))
-    return small_batches(rows).select(F.col(key).cast("long").alias("key"), F.octet_length(body).cast("long").alias("n_bytes"), body.alias("body")).mapInArrow(encoded, "key long, n_bytes long, media binary")
+    shaped = small_batches(rows).select(F.col(key).alias("key"), F.octet_length(body).cast("long").alias("n_bytes"), body.alias("body"))
+    return shaped.mapInArrow(encoded, f"key {_kind(shaped)}, n_bytes long, media binary")
+
+
+FEATURES = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+
+
+def _kind(df: DataFrame) -> str:
+    return df.schema["key"].dataType.simpleString()
 
 
-FEATURES = "key long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+def _groups(sizes: np.ndarray):
+    """Rows at ... to - 1 of about GROUP bytes together; sizes are cumulated."""
+    at = 0
+    while at < len(sizes):
+        base = sizes[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(sizes, base + GROUP, side="right")))
+        yield at, to
+        at = to
 
 
 def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, cuts[:-1], dtype=np.int64)
 
 
+def _expanded(format_: int, raw: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """Samples of payloads that lie one after another, and how many samples (num) so many bytes (den) make."""
+    if format_ == IMA:
+        return decode_ima(raw.reshape(-1, IMA_BLOCK)).reshape(-1), 1 + 2 * (IMA_BLOCK - 4), IMA_BLOCK
+    return (MULAW_TABLE if format_ == MULAW else ALAW_TABLE)[raw], 1, 1
+
+
 def _features(waves: list[bytes]) -> list[tuple]:
-    """What the stored clips hold, and how they sound under each codec; side by side."""
+    """What the stored clips hold, how they sound expanded and resampled, and that sound as a 16-bit PCM file; clips of a format side by side."""
     clips = [from_wave(w) for w in waves]
-    payloads = [bytes(p) for _, _, _, p in clips]
-    raw = np.frombuffer(b"".join(payloads), dtype=np.uint8)
-    cuts = np.concatenate([[0], np.cumsum([len(p) for p in payloads])]).astype(np.int64)
-    pcm = resample(MULAW_TABLE[raw], cuts[1:])
-    wide = cuts * FACTOR
-    energy = _sums(pcm.astype(np.int64) ** 2, wide)
-    turns = (pcm[1:] < 0) != (pcm[:-1] < 0)
-    turns = np.append(turns, False)
-    turns[wide[1:] - 1] = False
-    crossings = _sums(turns, wide)
-    a_energy = _sums(ALAW_TABLE[raw].astype(np.int64) ** 2, cuts)
-    ima = decode_ima(raw.reshape(-1, IMA_BLOCK)).astype(np.int64)
-    i_energy = _sums((ima**2).sum(axis=1), cuts // IMA_BLOCK)
-    out = []
-    for i, (wave, payload) in enumerate(zip(waves, payloads, strict=True)):
-        own = pcm[wide[i] : wide[i + 1]]
-        feature = f"pcm{RATE * FACTOR}:{zlib.crc32(own.astype('<i2').tobytes()):08x} energy:{energy[i]} crossings:{crossings[i]} peak:{int(np.abs(own.astype(np.int32)).max())} alaw:{a_energy[i]} ima:{i_energy[i]}"
-        out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(wave), hashlib.sha256(wave).hexdigest(), feature))
+    out: list[tuple] = [()] * len(waves)
+    for format_, _ in CODECS:
+        own = [i for i, c in enumerate(clips) if c[0] == format_]
+        if not own:
+            continue
+        payloads = [bytes(clips[i][3]) for i in own]
+        samples, num, den = _expanded(format_, np.frombuffer(b"".join(payloads), dtype=np.uint8))
+        cuts = np.concatenate([[0], np.cumsum([len(p) for p in payloads])]).astype(np.int64) // den * num
+        pcm = resample(samples, cuts[1:])
+        wide = cuts * FACTOR
+        energy = _sums(pcm.astype(np.int64) ** 2, wide)
+        turns = np.append((pcm[1:] < 0) != (pcm[:-1] < 0), False)
+        turns[wide[1:] - 1] = False
+        crossings = _sums(turns, wide)
+        for k, i in enumerate(own):
+            sound = pcm[wide[k] : wide[k + 1]]
+            body = sound.astype("<i2").tobytes()
+            feature = f"{NAMES[format_]}:pcm{RATE * FACTOR}:{zlib.crc32(body):08x} energy:{energy[k]} crossings:{crossings[k]} peak:{int(np.abs(sound.astype(np.int32)).max())}"
+            payload, wave = payloads[k], waves[i]
+            out[i] = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(wave), hashlib.sha256(wave).hexdigest(), feature, to_wave(body, PCM, RATE * FACTOR, 2))
     return out
 
 
-def audio_features(stored: DataFrame) -> DataFrame:
-    """Read stored clips back: digests of payload and file, and features of the expanded and resampled audio."""
+def audio_features(clips: DataFrame, pcm: bool = False) -> DataFrame:
+    """Read stored clips back: digests of payload and file, and features of the expanded and resampled audio; with pcm, that audio too, as 16-bit PCM files."""
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+    names = ["key", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pcm"]
 
     def measured(batches):
         for batch in batches:
             sizes = np.cumsum(pc.binary_length(batch.column("media")).to_numpy(zero_copy_only=False))
-            at = 0
-            while at < batch.num_rows:
-                base = sizes[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(sizes, base + GROUP, side="right")))
+            for at, to in _groups(sizes):
                 part = batch.slice(at, to - at)
                 cols = list(zip(*_features(part.column("media").to_pylist()), strict=True))
-                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("n_bytes"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["key", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-                at = to
+                made = [part.column("key"), part.column("n_bytes"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]]
+                yield pa.RecordBatch.from_arrays(made if pcm else made[:-1], names=names if pcm else names[:-1])
+
+    return small_batches(clips).mapInArrow(measured, f"key {_kind(clips)}, {FEATURES}" + (", pcm binary" if pcm else ""))
+
 
-    return small_batches(stored).mapInArrow(measured, FEATURES)
+#: Passes in which clips are stored, read back and resampled: at most one pass's clips are on disk beside the PCM.
+ROUNDS = 4
+
+
+def store_media(rows: DataFrame, text: Column, key: str, rounds: int = ROUNDS) -> DataFrame:
+    """Store every text as a clip, read the clips back, and store their resampled PCM with what audio_features measures; read from that store, with pcm.
+
+    A pass takes the rows of a share of hashes; its clips are deleted when their PCM is stored. Every row is in one pass."""
+    share = F.pmod(F.xxhash64(F.col(key), text), F.lit(rounds))
+    made = []
+    for k in range(rounds):
+        clips = stored(store_as_audio(rows.filter(share == k), text, key), "media-clips")
+        made.append(stored(audio_features(clips, pcm=True), "media-pcm", **{"parquet.compression.codec.zstd.level": "9"}))
+        discard(clips)
+    out = made[0]
+    for more in made[1:]:
+        out = out.unionByName(more)
+    return out
 
 
-def resampled_pcm(stored: DataFrame, media: str = "media", factor: int = FACTOR) -> DataFrame:
-    """stored with media replaced by 16-bit PCM files at factor times the rate; null stays null."""
+def resampled_pcm(clips: DataFrame, media: str = "media", factor: int = FACTOR) -> DataFrame:
+    """clips with media replaced by 16-bit PCM files at factor times the rate; null stays null."""
 
     def converted(batches):
         for batch in batches:
@@ -229,4 +288,4 @@ def resampled_pcm(stored: DataFrame, media: str = "media", factor: int = FACTOR)
                 out.append(to_wave(up.astype("<i2").tobytes(), PCM, rate * factor, 2))
             yield batch.set_column(batch.schema.get_field_index(media), media, pa.array(out, pa.binary()))
 
-    return small_batches(stored).mapInArrow(converted, stored.schema)
+    return small_batches(clips).mapInArrow(converted, clips.schema)
