@@ -18,8 +18,14 @@ one component then are done. In the others, members are dealt by hash to blocks
 blocks is compared by a task of its own, on the whole multisets, which gives only links that join components.
 No bucket is capped, none meets in one task, and copies of one text are never paired with one another.
 
+Buckets with the same members are compared once, in whichever band, and a block holds at most about BLOCK members
+and BLOCK_BYTES of their multisets.
+
 Edges: null texts and texts without words are near-duplicates of nothing, but equal word-less texts
-are one class; fewer than five words make one shingle; repeated rows are copies of each other.
+are one class; fewer than five words make one shingle; repeated rows are copies of each other, of which one is
+kept; ties go to the least key; an empty table gives an empty result. A very long text is one node with its whole
+multiset (4 bytes a word). Columns named class_id or kept are replaced, others are carried along whatever
+their names; null keys are least.
 """
 
 from __future__ import annotations
@@ -29,17 +35,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulith.llm.byte_words import U64, Words, mix64, shingles, words_of
-from tabulith.llm.common import discard, small_batches, stored
+from tabulith.llm.common import boxed, discard, small_batches, stored, unboxed
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5
 K = BANDS * ROWS
-#: Members of a block; a task compares two blocks.
-BLOCK = 256
+#: Members of a block, and bytes of their multisets; a task compares two blocks.
+BLOCK, BLOCK_BYTES = 256, 64 << 20
+#: Rows alike in all columns that one task counts, about.
+ALIKE = 10_000
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 #: Cumulative Poisson(1) probabilities: how many darts a unit cell holds, by a uniform 32-bit number.
 POISSON = np.array([math.floor(sum(math.exp(-1) / math.factorial(i) for i in range(n + 1)) * 2**32) for n in range(12)], dtype=np.uint64)
@@ -224,10 +232,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     labels = _linked(texts, sigs, one.select("node", F.explode("bands").alias("band")))
     discard(one)
     # a row is known by its key and the hash of its columns, which stay as they are when a lost scan is read again
-    docs = docs.drop("class_id", "kept")
-    row = F.struct(F.col(key).alias("key"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"))
-    base = docs.withColumns({"_node": node, "_whole": whole, "_least": row})
-    copies = base.filter(F.col(text).isNotNull()).groupBy("_node", "_whole", "_least").agg(F.count(F.lit(1)).alias("n"))
+    columns = docs.columns
+    others = [c for c in columns if c not in ("class_id", "kept")]
+    row = F.struct(F.col(key).alias("key"), F.xxhash64(*[F.col(f"`{c}`") for c in others]).alias("hash"))
+    base = boxed(docs, _null=F.col(text).isNull(), _node=node, _whole=whole, _least=row)
+    copies = base.filter(~F.col("_null")).groupBy("_node", "_whole", "_least").agg(F.count(F.lit(1)).alias("n"))
     nodes = copies.groupBy("_node", "_whole").agg(F.min(F.struct("_least", "n")).alias("_first"))
     made = [] if labels is None else [labels]
     if labels is not None:
@@ -242,12 +251,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     named = stored(nodes.join(classes, "_class").select(F.col("_whole").alias("_of"), "_head"), "dart-named")
     discard(*made)
     found = base.join(named, F.col("_whole") == F.col("_of"), "left").withColumn("_head", F.coalesce("_head", F.struct("_least", F.lit(1).cast("long").alias("n"))))
-    found = found.withColumns({"class_id": F.col("_head._least.key"), "kept": F.col("_head._least") == F.col("_least")})
-    if repeated:  # of rows that are alike in all columns one is kept
-        alike = F.col("kept") & (F.col("_head.n") > 1)
-        one = F.row_number().over(Window.partitionBy("_head").orderBy(F.lit(1))) == 1
-        found = found.filter(~alike).unionByName(found.filter(alike).withColumn("kept", one))
-    return found.drop("_node", "_whole", "_of", "_head", "_least")
+    found = found.select("_row", "_head", (F.col("_head._least") == F.col("_least")).alias("_kept"))
+    out = lambda df: unboxed(df, columns, class_id=F.col("_head._least.key"), kept=F.col("_kept"))
+    if not repeated:
+        return out(found)
+    # of rows that are alike in all columns one is kept: counted in parts, so that many of them never meet in one task, and of the least part's one is set apart
+    alike = F.col("_kept") & (F.col("_head.n") > 1)
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.ceil(F.col("_head.n") / ALIKE))
+    parts = stored(found.filter(alike).withColumn("_part", part).groupBy("_head", "_part").agg(F.count(F.lit(1)).alias("_n"), F.first("_row").alias("_row")), "dart-alike")
+    least = parts.groupBy("_head").agg(F.min("_part").alias("_least_part"))
+    marked = parts.join(least, "_head").withColumn("_kept", F.explode(F.transform(F.sequence(F.lit(1), F.col("_n")), lambda i: (F.col("_part") == F.col("_least_part")) & (i == 1))))
+    return out(found.filter(~alike).unionByName(marked.select("_row", "_head", "_kept")))
 
 
 def _linked(texts: DataFrame, sigs: DataFrame, members: DataFrame) -> DataFrame | None:
@@ -268,11 +282,15 @@ def _linked(texts: DataFrame, sigs: DataFrame, members: DataFrame) -> DataFrame
     labels = components(links, "dart")
     # the buckets in several components, by blocks of members
     placed = stored(rest.join(labels, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("mine")), "dart-placed")
-    several = placed.groupBy("band").agg(F.min("mine").alias("x"), F.max("mine").alias("y")).filter("x <> y").select("band")
+    sized = sets.select("node", F.octet_length("strips").alias("bytes"))
+    # buckets with the same members, by their number and two 64-bit sums (without carry) of their hashes, are compared once
+    same = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"s{k}") for k in (1, 2)]
+    several = placed.join(sized, "node").groupBy("band").agg(F.min("mine").alias("x"), F.max("mine").alias("y"), F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bytes"), *same).filter("x <> y")
+    several = several.groupBy("m", "s1", "s2").agg(F.min("band").alias("band"), F.first("bytes").alias("bytes")).select("band", "bytes")
     apart = stored(placed.join(several, "band"), "dart-apart")
     discard(rest, crowded, leaders, pairs, likely, placed)
     if apart.limit(1).count():
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
         own = F.pmod(F.hash("node", "band"), blocks)
         dealt = apart.withColumns({"_own": own, "_other": F.explode(F.sequence(F.lit(0), blocks - 1))}).select("band", "node", "mine", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"))
         more = dealt.join(sets, "node").groupBy("band", "low", "high").applyInArrow(_joined, "a long, b long")
