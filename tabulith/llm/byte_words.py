@@ -70,15 +70,34 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(column: pa.Array, chunk: int = CHUNK) -> Iterator[Words]:
-    """Words by groups of documents of about chunk bytes."""
+    """Words by groups of documents of about chunk bytes; of a longer document, its words are found piece by piece."""
     body, offs = utf8(column)
     n, at = len(offs) - 1, 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + chunk, side="right")) - 1)
-        yield _words(body[offs[at] : offs[to]], offs[at : to + 1] - offs[at], at)
+        if offs[to] - offs[at] > chunk:
+            hashes = np.concatenate([_words(p, np.array([0, len(p)], dtype=np.int64), at).hashes for p in _pieces(body[offs[at] : offs[to]], chunk)])
+            yield Words(at, 1, hashes, np.zeros(len(hashes), dtype=np.int64), np.array([0, len(hashes)], dtype=np.int64))
+        else:
+            yield _words(body[offs[at] : offs[to]], offs[at : to + 1] - offs[at], at)
         at = to
 
 
+def _pieces(body: np.ndarray, chunk: int) -> Iterator[np.ndarray]:
+    """A document in pieces of about chunk bytes, cut between words; a longer word stays whole."""
+    at, n = 0, len(body)
+    while at < n:
+        to = at + chunk
+        while to < n:
+            gaps = np.flatnonzero(FOLD[body[to : to + chunk]] == 0)
+            if len(gaps):
+                to += int(gaps[0])
+                break
+            to += chunk
+        yield body[at : min(to, n)]
+        at = min(to, n)
+
+
 def _words(body: np.ndarray, offs: np.ndarray, first: int) -> Words:
     n, size = len(offs) - 1, len(body)
     if not size:

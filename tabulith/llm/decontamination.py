@@ -5,11 +5,16 @@ documents, and for each term the ascending positions of its postings. The index
 test terms is found in a block by intersecting posting lists, each shifted by its term's offset in the
 phrase, from the block's rarest term to its most frequent one. No posting list crosses blocks, so that
 a frequent term or a passage that many documents share never meets in one task. Items are taken to the
-blocks in groups of a bounded number of words; a corpus pass is made for each group.
+blocks in groups of a bounded number of words; a corpus pass is made for each group, and the driver and the
+tasks hold one group at a time. Proximity matches are found in the same index: postings of an item's rarest
+term with one of every other term of it nearby.
 
 Edges: null texts and texts without words have no words and no hits; a null item_id counts as an
 item named by the empty string; repeated items count once; repeated documents each get a row; an
-empty benchmark hits nothing.
+empty benchmark hits nothing; an empty table gives an empty result; keys keep their type and may be null. A very long
+text is a block by itself, its words found piece by piece; a very long item is taken in parts that overlap by a
+window. Other columns than key and text are left out (contamination) or carried along whatever their
+names (clean_documents).
 """
 
 from __future__ import annotations
@@ -22,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulith.llm.byte_words import Words, word_hashes, words_of
-from tabulith.llm.common import shared_path, small_batches
+from tabulith.llm.common import shared_path, small_batches, stored
 
 WINDOW = 10
-#: Words of items that go to the executors at once (about 12 bytes each).
-ITEM_WORDS = 2_000_000
-INDEX = "block long, keys array<long>, bounds binary, terms binary, starts binary, positions binary"
+#: Words of items that go to the executors at once: 8 bytes each as they are sent, about 60 as windows in a task.
+ITEM_WORDS = 500_000
+INDEX = "block long, keys array<{kind}>, bounds binary, terms binary, starts binary, positions binary"
 
 
 class Postings:
@@ -62,22 +67,28 @@ class Postings:
 
 
 class Phrases:
-    """Windows of item words: vocabulary, and for each window its item and its words (-1 beyond its end)."""
+    """Windows of item words: vocabulary, and for each window its item and its words (-1 beyond its end). Sent as the items' word hashes; the windows are made where they are used."""
+
+    def __reduce__(self):
+        return Phrases, (self.items, self.window)
 
     def __init__(self, items: list[tuple[str, np.ndarray]], window: int = WINDOW):
+        self.items, self.window = items, window
         self.names = [name for name, _ in items]
         words = [w for _, w in items]
         self.vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, dtype=np.uint64)
         rows, owner, size = [], [], []
         for i, w in enumerate(words):
-            ids = np.searchsorted(self.vocabulary, w)
+            ids = np.searchsorted(self.vocabulary, w).astype(np.int32)
             n = min(window, len(ids))
-            for s in range(len(ids) - n + 1) if n else ():
-                rows.append(np.concatenate([ids[s : s + n], np.full(window - n, -1, dtype=np.int64)]))
-                owner.append(i)
-                size.append(n)
-        self.words = np.array(rows, dtype=np.int64).reshape(-1, window)
-        self.owner, self.size = np.array(owner, dtype=np.int64), np.array(size, dtype=np.int64)
+            if n:
+                own = np.full((len(ids) - n + 1, window), -1, dtype=np.int32)
+                own[:, :n] = np.lib.stride_tricks.sliding_window_view(ids, n)
+                rows.append(own)
+                owner.append(np.full(len(own), i))
+                size.append(np.full(len(own), n))
+        self.words = np.concatenate(rows) if rows else np.zeros((0, window), dtype=np.int32)
+        self.owner, self.size = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, dtype=np.int64) for x in (owner, size))
 
     def occurrences(self, index: Postings) -> tuple[np.ndarray, np.ndarray]:
         """(window, position of its first word) of all occurrences, by intersection from the rarest term on."""
@@ -154,18 +165,19 @@ def proximity(index: Postings, terms: Iterable[str], span: int) -> list[tuple[in
 
 
 def item_groups(benchmark: DataFrame, key: str = "item_id", text: str = "text", limit: int = ITEM_WORDS) -> Iterator[list[tuple[str, np.ndarray]]]:
-    """Items with their word hashes, in groups of at most limit words (a longer item by itself)."""
+    """Items with their word hashes, in groups of at most limit words (a longer item in parts that overlap by a window but a word); one partition of items and one group are held at a time."""
     group, size = [], 0
     rows = benchmark.select(F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))).distinct()
     for name, body in rows.toLocalIterator():
         words = word_hashes(body)
-        if not len(words):
-            continue
-        if size and size + len(words) > limit:
-            yield group
-            group, size = [], 0
-        group.append((name, words))
-        size += len(words)
+        part = max(limit, 2 * WINDOW)
+        for lo in range(0, max(len(words) - WINDOW + 1, 1) if len(words) > part else min(len(words), 1), part - WINDOW + 1):
+            own = words[lo : lo + part]
+            if size and size + len(own) > limit:
+                yield group
+                group, size = [], 0
+            group.append((name, own))
+            size += len(own)
     if group:
         yield group
 
@@ -186,43 +198,49 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), held, *parts], names=["block", "keys", "bounds", "terms", "starts", "positions"])
                 number += 1
 
-    made = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(indexed, INDEX)
+    shaped = small_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    made = shaped.mapInArrow(indexed, INDEX.format(kind=shaped.schema["key"].dataType.simpleString()))
     if path is None:
         path = shared_path(docs.sparkSession, "positional-index")
     made.write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(made.schema).parquet(path)
 
 
-FOUND = "block long, place int, key long, n_words long, hits array<int>, items array<string>"
+def _of_blocks(index: DataFrame, phrases: Phrases) -> DataFrame:
+    """block, place, key, n_words, hits and items of every indexed document."""
 
+    def matched(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                postings = Postings.read(*(batch.column(c)[i] for c in ("bounds", "terms", "starts", "positions")))
+                n_words, hit, items = phrases.hits(postings)
+                n = len(n_words)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(n, batch.column("block")[i].as_py()), pa.int64()),
+                        pa.array(np.arange(n), pa.int32()),
+                        batch.column("keys")[i].values,
+                        pa.array(n_words, pa.int64()),
+                        pa.array(hit, pa.list_(pa.int32())),
+                        pa.array(items, pa.list_(pa.string())),
+                    ],
+                    names=["block", "place", "key", "n_words", "hits", "items"],
+                )
+
+    kind = index.schema["keys"].dataType.elementType.simpleString()
+    return small_batches(index).mapInArrow(matched, f"block long, place int, key {kind}, n_words long, hits array<int>, items array<string>")
 
-def phrase_matches(index: DataFrame, groups: Iterable[list[tuple[str, np.ndarray]]], window: int = WINDOW) -> DataFrame:
-    """Per indexed document: key, n_words, hits (positions of the words hit), items (those that occur)."""
-    passes = []
-    for group in groups or [[]]:
-        phrases = Phrases(group, window)
 
-        def matched(batches, phrases=phrases):
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    postings = Postings.read(*(batch.column(c)[i] for c in ("bounds", "terms", "starts", "positions")))
-                    n_words, hit, items = phrases.hits(postings)
-                    n = len(n_words)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(n, batch.column("block")[i].as_py()), pa.int64()),
-                            pa.array(np.arange(n), pa.int32()),
-                            batch.column("keys")[i].values,
-                            pa.array(n_words, pa.int64()),
-                            pa.array(hit, pa.list_(pa.int32())),
-                            pa.array(items, pa.list_(pa.string())),
-                        ],
-                        names=["block", "place", "key", "n_words", "hits", "items"],
-                    )
-
-        passes.append(small_batches(index).mapInArrow(matched, FOUND))
-    if len(passes) == 1:
-        return passes[0].drop("block", "place")
+def phrase_matches(index: DataFrame, groups: Iterable[list[tuple[str, np.ndarray]]], window: int = WINDOW) -> DataFrame:
+    """Per indexed document: key, n_words, hits (positions of the words hit), items (those that occur). Where there are several groups, each one's hits are stored before the next group is taken."""
+    groups = iter(groups)
+    group, after = next(groups, []), next(groups, None)
+    if after is None:
+        return _of_blocks(index, Phrases(group, window)).drop("block", "place")
+    passes = [stored(_of_blocks(index, Phrases(group, window)), "phrase-hits")]
+    while after is not None:
+        passes.append(stored(_of_blocks(index, Phrases(after, window)).filter(F.size("hits") > 0), "phrase-hits"))
+        after = next(groups, None)
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)
@@ -230,16 +248,38 @@ def phrase_matches(index: DataFrame, groups: Iterable[list[tuple[str, np.ndarray
     return every.groupBy("block", "place").agg(F.first("key").alias("key"), F.first("n_words").alias("n_words"), together("hits"), together("items")).drop("block", "place")
 
 
+def proximity_matches(index: DataFrame, items: list[tuple[str, list[str]]], span: int) -> DataFrame:
+    """item, key and position wherever a document of the stored index holds all of an item's terms near each other: for each posting of the block's rarest of them, whether every other term has one less than span words away in the same document. items: at most ITEM_WORDS terms."""
+    if sum(len(terms) for _, terms in items) > ITEM_WORDS:
+        raise ValueError(f"more than {ITEM_WORDS} terms: take the items in groups")
+
+    def near(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                postings = Postings.read(*(batch.column(c)[i] for c in ("bounds", "terms", "starts", "positions")))
+                for name, terms in items:
+                    if found := proximity(postings, terms, span):
+                        place, at = zip(*found, strict=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([name] * len(place), pa.string()), batch.column("keys")[i].values.take(pa.array(place, pa.int64())), pa.array(at, pa.int64())], names=["item", "key", "position"]
+                        )
+
+    kind = index.schema["keys"].dataType.elementType.simpleString()
+    return small_batches(index).mapInArrow(near, f"item string, key {kind}, position long")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: key, n_words, hits, items, through the stored index."""
-    groups = list(item_groups(benchmark)) or [[]]
-    return phrase_matches(build_index(docs, key, text), groups)
+    return phrase_matches(build_index(docs, key, text), item_groups(benchmark))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The documents of which no word lies in an occurrence of an item's window; rows as they came, in one pass for each group of items."""
-    kept = small_batches(docs)
+    """The documents of which no word lies in an occurrence of an item's window; rows as they came, in one pass for each group of items, stored between passes."""
+    kept, before = small_batches(docs), None
     for group in item_groups(benchmark):
+        if before is not None:
+            kept = stored(kept, "clean-documents")
+        before = group
         phrases = Phrases(group)
 
         def untouched(batches, phrases=phrases):
@@ -255,4 +295,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -
     return kept
 
 
-__all__ = ["Postings", "Phrases", "build_index", "clean_documents", "contamination", "item_groups", "phrase_matches", "proximity"]
+__all__ = ["Postings", "Phrases", "build_index", "clean_documents", "contamination", "item_groups", "phrase_matches", "proximity", "proximity_matches"]
