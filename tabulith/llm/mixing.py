@@ -8,11 +8,14 @@ the table of sources, of which three numbers reach the driver.
 Sampling: a source whose target is w whole epochs and a remainder takes every document w times,
 and once more the documents that come first in an order by a seeded hash, until the remainder is
 used up; the document at the border gives the words that are still missing. The border is found by
-two histograms over hash bits (map-side sums), so that no task ever sees a whole source.
+two histograms over hash bits (map-side sums), so that no task ever sees a whole source. Within the border's
+bucket, rows of one key and text are counted first and take their turn together; only where the border falls among
+repeated rows are these numbered, by ranges.
 
 Edges: a null source is a source of its own, last in order; a null or blank text has size 0 and
-takes 0 words; repeated rows count once each; further columns are carried through untouched; an empty
-table gives an empty result.
+takes 0 words; repeated rows count once each; further columns are carried through untouched, whatever their
+names; an empty table gives an empty result; a very long text is a document like others, taken whole or, at its
+source's border, in part.
 """
 
 from __future__ import annotations
@@ -121,10 +124,23 @@ def mix(
     rows = (measured.withColumn("_fine", fine) if keep else sized).join(bounded_broadcast(cut), F.col("_source").eqNullSafe(F.col("_of")))
     whole = F.col("_whole") * F.col("_size")
     plain = rows.filter(F.col("_at").isNull() | (F.col("_fine") != F.col("_at"))).withColumn("_taken", whole + F.when(F.col("_fine") < F.col("_at"), F.col("_size")).otherwise(0))
-    # a 2^-24 part of a source: rows of one fine bucket, in the full order
+    # a 2^-24 part of a source: its rows in the full order, those of one key and text together
+    same = ["_source", "_fine", "_hash", "_key", "_size"]
+    edge = rows.filter(F.col("_fine") == F.col("_at"))
+    at_edge = sized.join(bounded_broadcast(cut.select("_of", "_at", (F.col("_rest") - F.col("_used")).alias("_open"))), F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_fine") == F.col("_at")))
     running = Window.partitionBy("_source", "_fine").orderBy("_hash", F.col("_key").asc_nulls_first(), "_size").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("_rest") - F.col("_used") - F.coalesce(F.sum("_size").over(running), F.lit(0))
-    edge = rows.filter(F.col("_fine") == F.col("_at")).withColumn("_taken", whole + F.greatest(F.lit(0), F.least(F.col("_size"), left)))
+    turns = stored(at_edge.groupBy(*same, "_open").agg(F.count(F.lit(1)).alias("_n")).withColumn("_left", F.col("_open") - F.coalesce(F.sum(F.col("_n") * F.col("_size")).over(running), F.lit(0))), "mix-turns")
+    turn = turns.select(F.col("_hash").alias("_h"), F.col("_key").alias("_k"), F.col("_size").alias("_s"), F.col("_source").alias("_o"), "_left", "_n")
+    edge = edge.join(turn, (F.col("_hash") == F.col("_h")) & F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_size") == F.col("_s")) & F.col("_source").eqNullSafe(F.col("_o"))).drop("_h", "_k", "_s", "_o")
+    among = (F.col("_n") > 1) & (F.col("_left") > 0) & (F.col("_left") < F.col("_n") * F.col("_size"))
+    if turns.filter(among).limit(1).count():
+        numbered = dense_index(edge.filter(among), [F.col("_source").asc_nulls_first(), F.col("_hash")], "_number", "mix-numbered")
+        starts = numbered.groupBy("_source").agg(F.min("_number").alias("_start")).withColumnRenamed("_source", "_o")
+        counted = numbered.join(bounded_broadcast(starts), F.col("_source").eqNullSafe(F.col("_o"))).withColumn("_before", F.col("_number") - F.col("_start")).drop("_number", "_start", "_o")
+        edge = edge.filter(~among).withColumn("_before", F.lit(0).cast("long")).unionByName(counted)
+    else:
+        edge = edge.withColumn("_before", F.lit(0).cast("long"))
+    edge = edge.withColumn("_taken", whole + F.greatest(F.lit(0), F.least(F.col("_size"), F.col("_left") - F.col("_before") * F.col("_size"))))
     chosen = [F.col("_key").alias(key), "_size", "_source_size", "_target", F.col("_taken").cast("long").alias("_taken"), *[F.col(f"_keep_{c}").alias(c) for c in keep if c != key]]
     return plain.select(*chosen).unionByName(edge.select(*chosen))
 
