@@ -12,7 +12,9 @@ they agree, else that of the nearer one by characters between; where a page mark
 the article look only at its good blocks, and are good if there is none.
 
 Edges: null or empty html gives the empty text; markup that is never closed ends with the page;
-character references are decoded, once; repeated rows each get their text; nothing is cut off.
+character references are decoded, once; repeated rows each get their text; nothing is cut off; an empty table
+gives an empty result. Very long pages and deep nesting cost in proportion to their length. Columns of pages named
+text or n_chars are replaced, html is left out, others are carried along whatever their names.
 """
 
 from __future__ import annotations
@@ -26,18 +28,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulith.llm.common import small_batches
+from tabulith.llm.common import boxed, small_batches, unboxed
 
 SHORT, LONG = 70, 200  # characters
 STOP_LOW, STOP_HIGH = 0.10, 0.20  # shares of stop words
 LINKS = 0.33
 
-#: Function words of English, German, French and Spanish.
+#: Function words of English, German, French, Spanish, Italian, Portuguese, Dutch, Swedish and Polish.
 STOP_WORDS = frozenset(
     "the of and to a in is it that was for on are as with be at by this from or an not but which they we you he she his her has have had were been their its will would can if so"
     " der die das und ist in den von zu mit sich des auf für nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem über so zum war haben nur oder aber vor zur bis mehr durch"
     " le la les de des un une et est en du que qui dans pour par sur pas au plus ce il elle avec ne se sont aux ou leur mais cette"
-    " el los las y del que en un una por con no para es al lo como más su sus se o pero este esta entre".split()
+    " el los las y del que en un una por con no para es al lo como más su sus se o pero este esta entre"
+    " il lo gli i di da in con per non che è sono una dei delle della nel alla più anche come ma ha si del al"
+    " o os as do da dos das em no na não um uma com se por mais ao ou seu sua foi são também pelo"
+    " de het een van en in is dat op te zijn met voor niet aan er om ook als bij maar uit nog naar dan door over"
+    " och att det som en på är av för med den till inte har ett om var jag men vi från så kan"
+    " i w na z że się nie do jest to o jak po co ale przez od dla za są był być tym już tylko oraz ze".split()
 )
 SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video textarea select option datalist".split())
 BOILER = frozenset("nav header footer aside form menu button dialog fieldset label".split())
@@ -75,6 +82,7 @@ def cut_blocks(page: str) -> list[Block]:
     pieces: list[str] = []
     linked = 0
     stack: list[tuple[str, bool, bool, int]] = []  # open containers: (tag, bad, main, number if its name is to be judged by its share of the text)
+    opened, bads, mains, marks = Counter(), 0, 0, []  # of the open containers: how many of each tag, bad ones, articles, numbers
     numbers = 0
     link = False
     at = 0
@@ -83,8 +91,7 @@ def cut_blocks(page: str) -> list[Block]:
         nonlocal linked
         text = SPACES.sub(" ", "".join(pieces)).strip()
         if text:
-            bad = any(b for _, b, _, _ in stack)
-            blocks.append(Block(text, min(linked, len(text)), bad, any(m for _, _, m, _ in stack), tuple(k for _, _, _, k in stack if k)))
+            blocks.append(Block(text, min(linked, len(text)), bads > 0, mains > 0, tuple(marks)))
         pieces.clear()
         linked = 0
 
@@ -96,6 +103,16 @@ def cut_blocks(page: str) -> list[Block]:
             if link:
                 linked += len(SPACES.sub(" ", text).strip())
 
+    def leave(i: int):
+        """Close the i-th open container."""
+        nonlocal bads, mains
+        tag, bad, main, number = stack.pop(i)
+        opened[tag] -= 1
+        bads -= bad
+        mains -= main
+        if number:
+            marks.remove(number)
+
     n = len(page)
     while at < n:
         found = TOKEN.search(page, at)
@@ -113,11 +130,11 @@ def cut_blocks(page: str) -> list[Block]:
                 flush()
             if name == "a":
                 link = False
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    link = link and name in ("p", "span")  # a link that was never closed ends with its container
-                    break
+            if opened[name]:
+                while stack[-1][0] != name:
+                    leave(-1)
+                leave(-1)
+                link = link and name in ("p", "span")  # a link that was never closed ends with its container
             continue
         if name in SILENT:
             if found[3].endswith("/"):
@@ -134,7 +151,7 @@ def cut_blocks(page: str) -> list[Block]:
         if name in VOID or found[3].endswith("/"):
             continue
         if name in BOILER or name in MAIN or name in ("div", "section", "ul", "ol", "table", "td", "p", "span", "li", "dl", "figure"):
-            inside = any(m for _, _, m, _ in stack)
+            inside = mains > 0
             number = 0
             bad = name in BOILER and not (inside and name == "header")
             if not bad and found[3]:
@@ -150,12 +167,14 @@ def cut_blocks(page: str) -> list[Block]:
                         elif not number:
                             numbers += 1
                             number = numbers
-            if name == "p":
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p":
-                        del stack[i]
-                        break
+            if name == "p" and opened["p"]:
+                leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"))
             stack.append((name, bad, name in MAIN, number))
+            opened[name] += 1
+            bads += bad
+            mains += name in MAIN
+            if number:
+                marks.append(number)
     flush()
     judge_marked(blocks)
     return blocks
@@ -259,9 +278,9 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
         for batch in batches:
             texts = [main_text(x) for x in batch.column("_html").to_pylist()]
             row = batch.column("_row")
-            yield pa.RecordBatch.from_arrays([row, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["_row", "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([row, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["_row", "_text", "_chars"])
 
-    others = [c for c in pages.columns if c not in (html, "text", "n_chars")]
-    shaped = small_batches(pages).select(F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(1).alias("_none")]).alias("_row"), F.col(html).alias("_html"))
+    shaped = boxed(small_batches(pages), _html=F.col(html))
     row = shaped.schema["_row"].dataType.simpleString()
-    return shaped.mapInArrow(extracted, f"_row {row}, text string, n_chars long").select(*[F.col(f"_row.`{c}`").alias(c) for c in others], "text", "n_chars")
+    out = shaped.mapInArrow(extracted, f"_row {row}, _text string, _chars long")
+    return unboxed(out, [c for c in pages.columns if c != html], text=F.col("_text"), n_chars=F.col("_chars"))
