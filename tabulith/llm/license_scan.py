@@ -4,17 +4,20 @@ Templates and texts are five-word shingles. A template of n shingles is in a tex
 shingles, wherever it begins, holds the share CONTAINED of the template's distinct ones. Such a stretch can
 begin at a template's shingle, so windows of 2.5n, one every n / 2 where a template's shingle is among the
 first n / 2, hold it whole. Windows only find candidates: by an equi-join on (n, band, MinHash), where a
-window's MinHashes are those of its shingles that are in any template. Their Jaccard similarity is at least 0.8 / 2.7 =
+window's MinHashes are those of its shingles that are in templates of n. Their Jaccard similarity is at least 0.8 / 2.7 =
 0.29 even if all else in the window is from other templates; BANDS single MinHashes then miss it with a probability
-below 0.71 ^ 32, two in a hundred thousand. A candidate counts by the best of its stretches of 2n.
+below 0.71 ^ 32, two in a hundred thousand. A candidate counts by the best of its stretches of 2n (matches, the best of
+each template). Occurrences, all of a template's in a text, are runs of its shingles in its own order with no gap of
+2n, that hold the share; text that was moved about within a notice makes a match without an occurrence.
 
-Only texts that hold an anchor (a word of
-each template shingle, or where it has only short ones the shingle itself) are cut into words: others
-contain nothing of any template, so nothing can be lost. Each row is worked on by itself; templates, a table given with the
-code, are the only thing that is broadcast.
+Only texts that hold an anchor (a word of each template shingle, or where it has only short ones the shingle
+itself) are cut into words: others contain nothing of any template, so nothing can be lost. Their shingles meet
+the templates' by an equi-join, with the template table broadcast where it is small enough; from there on only
+shingles of templates go on, dealt by row and window.
 
 Edges: null, empty and shorter texts have no licenses; repeated rows each get their result; texts may
-hold any number of licenses; an empty table gives an empty result.
+hold any number of licenses; an empty table gives an empty result; a very long text is cut into words in one
+task, and its hits are dealt by windows. Of docs only the key is returned, whatever its other columns are named.
 """
 
 from __future__ import annotations
@@ -22,10 +25,10 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabulith.llm.common import stored
+from tabulith.llm.common import bounded_broadcast, discard, stored
 
 WIDTH, BANDS, CONTAINED = 5, 32, 0.8
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -63,6 +66,42 @@ TEMPLATES = [
         "BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     ),
+    (
+        "MIT",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE '
+        "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    (
+        "BSD-2-Clause",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission "
+        "notice appear in all copies.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code "
+        "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
 ]
 
 
@@ -103,13 +142,24 @@ def min_hashes(shingles: Column) -> Column:
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
-    """license, template (number), _own (distinct shingles) and _n."""
+    """license, template (number), _all (shingles in order), _own (distinct ones) and _n."""
     rows = spark.createDataFrame([(name, i, text) for i, (name, text) in enumerate(templates)], "license string, template int, text string")
     made = rows.withColumn("_words", word_array(F.col("text"))).withColumn("_all", shingle_array(F.col("_words")))
     short = made.filter(F.size("_all") < 1).count()
     if short:
         raise ValueError(f"a template needs {WIDTH} words")
-    return made.select("license", "template", F.array_distinct("_all").alias("_own"), F.size("_all").alias("_n"))
+    return made.select("license", "template", "_all", F.array_distinct("_all").alias("_own"), F.size("_all").alias("_n"))
+
+
+def gate_of(text: Column, templates: list[tuple[str, str]]) -> Column:
+    """Whether a text may hold a template: cheap searches for the anchors' words first, then their pattern."""
+    pattern = anchors(templates)
+    terms = [max(re.findall("[a-z0-9]+", a), key=len) for a in pattern.split("(?:", 1)[1].rsplit(")(?!", 1)[0].split("|")]
+    low = F.lower(text)
+    found = F.lit(False)
+    for t in sorted(set(terms)):
+        found = found | F.contains(low, F.lit(t))
+    return F.when(found, F.translate(text, UPPER, LOWER).rlike(pattern)).otherwise(F.lit(False))
 
 
 def best_stretch() -> Column:
@@ -127,30 +177,47 @@ def best_stretch() -> Column:
     return F.struct(best["_share"].alias("_share"), (-best["_back"]).alias("_from"))
 
 
+def occurrences(hits: DataFrame, known: DataFrame) -> DataFrame:
+    """_row and its occurrences: runs of a template's shingles that go up in the template's order, with no gap of 2 * _n, and hold the share CONTAINED."""
+    # where a shingle recurs in its template its place says nothing
+    places = known.select("license", "template", "_n", F.size("_own").alias("_distinct"), F.posexplode("_all").alias("_place", "x"))
+    places = places.groupBy("license", "template", "_n", "_distinct", "x").agg(F.when(F.count(F.lit(1)) == 1, F.min("_place")).alias("_place"))
+    met = hits.select("_row", "i", "x").distinct().join(bounded_broadcast(places), "x")
+    of, order = ["_row", "template"], Window.partitionBy("_row", "template").orderBy("i")
+    new = F.col("_before").isNull() | (F.col("i") - F.col("_before") >= 2 * F.col("_n")) | (F.col("_place") <= F.col("_last"))
+    met = met.withColumns({"_before": F.lag("i").over(order), "_last": F.last("_place", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))})
+    runs = met.withColumn("_run", F.sum(F.when(F.coalesce(new, F.lit(False)), 1).otherwise(0)).over(order))
+    held = runs.groupBy(*of, "_run", "license").agg(F.min("i").alias("first_word"), (F.max("i") + WIDTH - 1).alias("last_word"), (F.count_distinct("x") / F.first("_distinct")).alias("share"))
+    return held.filter(F.col("share") >= CONTAINED).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("template", "license", "first_word", "last_word", F.round("share", 6).alias("share")))).alias("occurrences"))
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per row of docs: key, licenses (names, sorted) and matches (template, first word, share contained; best stretch of each template)."""
+    """Per row of docs: key, licenses (names, sorted), matches (template, first word, share contained; best stretch of each template) and occurrences (template, license, first and last word, share)."""
     spark = docs.sparkSession
-    known = template_table(spark, templates)
-    sizes = sorted({r["_n"] for r in known.select("_n").collect()})
-    vocabulary = known.agg(F.array_distinct(F.flatten(F.collect_list("_own"))).alias("v")).first()["v"]
-    listed = F.array(*[F.lit(v) for v in vocabulary])
-    gate = F.translate(F.col(text), UPPER, LOWER).rlike(anchors(templates))
-    rows = stored(docs.select(F.col(key).alias("_key"), F.when(gate, F.col(text)).alias("_text")).withColumn("_row", F.monotonically_increasing_id()), "license-rows")
-    # stored, so that the words are cut once a text, not once a shingle
-    cut = stored(rows.filter(F.col("_text").isNotNull()).select("_row", word_array(F.col("_text")).alias("_words")), "license-words").select("_row", shingle_array(F.col("_words")).alias("_all"))
-    known_only = F.transform("_all", lambda x: F.when(F.array_contains(listed, x), x))
-    hot = stored(cut.select("_row", known_only.alias("_all")).filter(F.size(F.array_compact("_all")) > 0), "license-hot")
-    sized = hot.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in sizes]))).withColumn("_step", F.greatest(F.lit(1), F.floor(F.col("_n") / 2).cast("int")))
-    near = F.array_distinct(F.array_compact(F.transform("_all", lambda x, i: F.when(x.isNotNull(), F.floor(i / F.col("_step")).cast("int")))))
-    windows = sized.withColumn("_window", F.explode(near)).select(
-        "_row", "_n", "_step", (F.col("_window") * F.col("_step")).alias("_at"), F.expr("slice(_all, _window * _step + 1, 2 * _n + _step)").alias("_held")
+    known = stored(template_table(spark, templates), "license-templates")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = stored(docs.select(F.col(key).alias("_key"), F.when(gate_of(F.col(text), templates), F.col(text)).alias("_text")).withColumn("_row", F.monotonically_increasing_id()), "license-rows")
+    # stored, so that the words are cut once a text, not once a shingle; dealt, since few of the rows that were read together may be left
+    cut = stored(rows.filter(F.col("_text").isNotNull()).repartition(parts, "_row").select("_row", word_array(F.col("_text")).alias("_words")), "license-words")
+    shingles = cut.select("_row", F.posexplode(shingle_array(F.col("_words"))).alias("i", "x"))
+    sizes = known.select("_n", F.explode("_own").alias("x")).distinct()
+    hits = stored(shingles.join(bounded_broadcast(sizes), "x").select("_row", "i", "x", "_n"), "license-hits")
+    discard(cut)
+    stepped = hits.withColumn("_step", F.greatest(F.lit(1), F.floor(F.col("_n") / 2).cast("int")))
+    first = F.greatest(F.lit(0), F.floor((F.col("i") - 2 * F.col("_n")) / F.col("_step")).cast("int"))
+    windows = (
+        stepped.withColumn("_window", F.explode(F.sequence(first, F.floor(F.col("i") / F.col("_step")).cast("int"))))
+        .withColumn("_at", F.col("_window") * F.col("_step"))
+        .groupBy("_row", "_n", "_step", "_at")
+        .agg(F.array_sort(F.collect_list(F.struct((F.col("i") - F.col("_at")).alias("i"), "x"))).alias("_held"))
+        .filter(F.element_at("_held", 1)["i"] < F.col("_step"))
     )
-    band = lambda held: F.posexplode(min_hashes(F.array_compact(held))).alias("_band", "_min")
+    band = lambda held: F.posexplode(min_hashes(held)).alias("_band", "_min")
     candidates = (
-        windows.select("_row", "_n", "_step", "_at", "_held", band("_held"))
-        .join(F.broadcast(known.select("license", "template", "_own", "_n", band("_own"))), ["_n", "_band", "_min"])
-        .filter(F.size(F.array_intersect("_held", "_own")) / F.size("_own") >= CONTAINED)
-        .withColumn("_hits", F.filter(F.transform("_held", lambda x, i: F.when(F.array_contains("_own", x), F.struct(i.alias("i"), x.alias("x")))), lambda h: h.isNotNull()))
+        windows.select("_row", "_n", "_step", "_at", "_held", band(F.transform("_held", lambda h: h["x"])))
+        .join(bounded_broadcast(known.select("license", "template", "_own", "_n", band(F.col("_own")))), ["_n", "_band", "_min"])
+        .withColumn("_hits", F.filter("_held", lambda h: F.array_contains("_own", h["x"])))
+        .filter(F.size(F.array_distinct(F.transform("_hits", lambda h: h["x"]))) / F.size("_own") >= CONTAINED)
         .withColumn("_stretch", best_stretch())
         .select("_row", "license", "template", F.col("_stretch._share").alias("_share"), (F.col("_at") + F.col("_stretch._from")).alias("_at"))
         .filter(F.col("_share") >= CONTAINED)
@@ -160,6 +227,12 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: st
         F.array_sort(F.collect_set("_best.license")).alias("licenses"),
         F.array_sort(F.collect_list(F.struct("template", (-F.col("_best._back")).alias("first_word"), F.round("_best._share", 6).alias("share")))).alias("matches"),
     )
-    out = rows.select("_row", "_key").join(found, "_row", "left")
+    every = occurrences(hits, known)
+    out = rows.select("_row", "_key").join(found, "_row", "left").join(every, "_row", "left")
     none = F.array().cast("array<string>")
-    return out.select(F.col("_key").alias(key), F.coalesce("licenses", none).alias("licenses"), F.coalesce("matches", F.array().cast(found.schema["matches"].dataType)).alias("matches"))
+    return out.select(
+        F.col("_key").alias(key),
+        F.coalesce("licenses", none).alias("licenses"),
+        F.coalesce("matches", F.array().cast(found.schema["matches"].dataType)).alias("matches"),
+        F.coalesce("occurrences", F.array().cast(every.schema["occurrences"].dataType)).alias("occurrences"),
+    )
