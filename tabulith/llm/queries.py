@@ -20,9 +20,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tabulith.llm.media import audio_features, store_as_audio
+    from tabulith.llm.media import store_media
 
-    return audio_features(store_as_audio(table(spark, sf_dir, "documents"), F.col("text"), "doc_id")).withColumnRenamed("key", "doc_id")
+    kept = store_media(table(spark, sf_dir, "documents"), F.col("text"), "doc_id").withColumnRenamed("key", "doc_id")
+    return kept.withColumns({"pcm_bytes": F.octet_length("pcm").cast("long"), "pcm_crc32": F.crc32("pcm")}).drop("pcm")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +65,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabulith.llm.license_scan import scan
 
     found = scan(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("licenses").cast("long").alias("n_licenses"), F.array_min(F.col("matches.first_word")).cast("long").alias("first_word"))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("licenses").cast("long").alias("n_licenses"), F.array_min(F.col("matches.first_word")).cast("long").alias("first_word"), F.size("occurrences").cast("long").alias("n_occurrences"))
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

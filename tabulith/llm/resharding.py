@@ -2,25 +2,32 @@
 
 The sizes of the old shards supply bytes, the new capacities demand them; keeping a byte where it is
 costs nothing, moving it costs its route's price. The cheapest flow says how many bytes leave each
-old shard for each new one. Every old shard is cut into a fixed number of hash blocks, and whole
-blocks are dealt to the routes so that the routes' bytes are met as closely as blocks allow; only
-blocks that change their shard are rewritten. The graph has one node a shard, so it is solved on the
-driver; blocks are sums by hash, at most BLOCKS a shard whatever the input's size.
-
-Edges: a null text has 0 bytes (size 1); documents with equal ids or texts are placed one by one;
-an empty table gives an empty result.
+old shard for each new one. Every old shard is a folder of hash blocks, a fixed number of
+them, and whole blocks are dealt to the routes so that the routes' bytes are met as closely as blocks allow; only
+blocks that change their shard are rewritten, all other files stay as they are. The graph has one node a shard, so
+it is solved on the driver; blocks are sums by hash, at most BLOCKS a shard whatever the input's size. A row's slot is
+its place in its shard's files, in their order, so that nothing is sorted.
+
+The law is `bytes`: documents with equal ids or texts lie in blocks like any others, each by a hash of its own row,
+so that a text that a third of all rows share is spread over all shards.
+
+Edges: a null text has 0 bytes (size 1); repeated rows are placed one by one; ties don't matter; an empty table
+gives an empty result; keys keep their type and may be null. A very long text is a row like others: shards are as near to
+equal as the largest block, which it is part of, allows. Columns of docs, whatever their names, go with their rows.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
-from tabulith.llm.common import dense_index, stored
+from tabulith.llm.common import boxed, bounded_broadcast, shared_path, stored
 
-BLOCKS = 1024
+BLOCKS = 128
 
 
 def min_cost_flow(supply: list[int], demand: list[int], cost: list[list[int]] | None = None) -> list[list[int]]:
@@ -105,25 +112,54 @@ def deal_blocks(blocks: dict[tuple[int, int], int], capacities: list[int]) -> di
 
 
 def old_layout(docs: DataFrame, old_shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """_key, _size, _crc, and the hash layout that is to be changed: _old shard, _block."""
+    """_key, _size, _crc, _row, and the hash layout that is to be changed: _old shard, _block. Rows that are alike have hashes of their own."""
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("_key"), (F.octet_length(body) + 1).cast("long").alias("_size"), F.crc32(body).cast("long").alias("_crc"))
-    spread = F.xxhash64("_key", "_crc")
-    return rows.withColumns({"_hash": spread, "_old": F.pmod(spread, F.lit(old_shards)).cast("int"), "_block": F.shiftrightunsigned(spread, 54).cast("int")})
+    rows = boxed(docs, _key=F.col(key), _size=(F.octet_length(body) + 1).cast("long"), _crc=F.crc32(body).cast("long"), _place=F.monotonically_increasing_id())
+    spread = F.xxhash64("_key", "_crc", "_place")
+    return rows.withColumns({"_hash": spread, "_old": F.pmod(spread, F.lit(old_shards)).cast("int"), "_block": F.shiftrightunsigned(spread, 57).cast("int")}).drop("_place")
+
+
+def write_store(docs: DataFrame, shards: int, path: str, key: str = "doc_id", text: str = "text") -> None:
+    """Write docs to path/shard=N/block=M: the hash layout, as a store that is there before it is resharded."""
+    laid = old_layout(docs, shards, key, text).select("_row", "_size", F.col("_old").alias("shard"), F.col("_block").alias("block"))
+    laid.hint("rebalance", "shard", "block").write.option("compression", "zstd").partitionBy("shard", "block").parquet(path)
+
+
+def read_store(spark: SparkSession, path: str, row: StructType) -> DataFrame:
+    """_row, shard, block, and _slot: the row's place (0, 1, 2, ...) among its shard's rows, by block, file and place in the file."""
+    schema = StructType().add("_row", row).add("_size", LongType()).add("shard", IntegerType()).add("block", IntegerType())
+    rows = spark.read.schema(schema).parquet(path).select("_row", "shard", "block", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    files = rows.groupBy("shard", "block", "_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("shard").orderBy("block", "_file"))
+    starts = stored(files.select("shard", "block", "_file", (before - F.col("_n")).alias("_start")), "reshard-starts")
+    return rows.join(bounded_broadcast(starts), ["shard", "block", "_file"]).select("_row", "shard", "block", (F.col("_start") + F.col("_index")).alias("_slot"))
+
+
+def reshard_store(spark: SparkSession, path: str, capacities: Callable[[int], list[int]]) -> dict[tuple[int, int], int]:
+    """Move the fewest bytes of a store so that its shards have the capacities (a function of its bytes); returns the plan."""
+    sizes = spark.read.schema("_size long, shard int, block int").parquet(path).groupBy("shard", "block").agg(F.sum("_size").alias("n"))
+    blocks = {(r["shard"], r["block"]): r["n"] for r in sizes.collect()}
+    plan = deal_blocks(blocks, capacities(sum(blocks.values())))
+    rewrite_affected(spark, path, plan)
+    return plan
 
 
 def reshard(docs: DataFrame, old_shards: int = 6, shards: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: _key, _size, _crc, _old, _shard and _slot (0, 1, 2, ... in its shard)."""
+    """Lay docs out in old_shards, reshard that store to shards of even bytes, and read it back. Per document: _row, _key, _size, _crc (of the text that was read back), _old, _shard and _slot (0, 1, 2, ... in its shard)."""
     spark = docs.sparkSession
-    rows = stored(old_layout(docs, old_shards, key, text), "reshard-old")
-    blocks = {(r["_old"], r["_block"]): r["n"] for r in rows.groupBy("_old", "_block").agg(F.sum("_size").alias("n")).collect()}
-    plan = deal_blocks(blocks, even_capacities(sum(blocks.values()), shards))
-    moves = F.broadcast(spark.createDataFrame([(s, b, j) for (s, b), j in plan.items()] or [(0, 0, 0)], "_old int, _block int, _shard int"))
-    placed = rows.join(moves, ["_old", "_block"])
-    order = [F.col("_shard"), F.col("_old"), F.col("_block"), F.col("_hash"), F.col("_key").asc_nulls_first(), F.col("_size"), F.col("_crc")]
-    numbered = dense_index(placed, order, "_at", "reshard-new")
-    starts = numbered.groupBy("_shard").agg(F.min("_at").alias("_start"))
-    return numbered.join(F.broadcast(starts), "_shard").withColumn("_slot", F.col("_at") - F.col("_start")).drop("_at", "_start")
+    path = shared_path(spark, "reshard-store")
+    write_store(docs, old_shards, path, key, text)
+    reshard_store(spark, path, lambda total: even_capacities(total, shards))
+    body = F.coalesce(F.col(f"_row.`{text}`"), F.lit(""))
+    return read_store(spark, path, boxed(docs).schema["_row"].dataType).select(
+        "_row",
+        F.col(f"_row.`{key}`").alias("_key"),
+        (F.octet_length(body) + 1).cast("long").alias("_size"),
+        F.crc32(body).cast("long").alias("_crc"),
+        F.when(F.col("block") < BLOCKS, F.col("shard")).otherwise(F.floor(F.col("block") / BLOCKS).cast("int") - 1).alias("_old"),
+        F.col("shard").alias("_shard"),
+        "_slot",
+    )
 
 
 def rewrite_affected(spark, path: str, plan: dict[tuple[int, int], int]) -> list[str]:
@@ -141,7 +177,7 @@ def rewrite_affected(spark, path: str, plan: dict[tuple[int, int], int]) -> list
         places = F.broadcast(spark.createDataFrame(list(old.values()), "shard int, block int, _to int"))
         rows = spark.read.option("basePath", path).parquet(*old).join(places, ["shard", "block"])
         placed = rows.withColumns({"block": (F.col("shard") + 1) * BLOCKS + F.col("block"), "shard": F.col("_to")}).drop("_to")
-        placed.repartition("shard", "block").write.mode("append").partitionBy("shard", "block").parquet(path)
+        placed.hint("rebalance", "shard", "block").write.mode("append").option("compression", "zstd").partitionBy("shard", "block").parquet(path)
         for at in old:
             fs.delete(jvm.org.apache.hadoop.fs.Path(at), True)
     return sorted(old)
