@@ -255,6 +255,8 @@ def audio_features(clips: DataFrame, pcm: bool = False) -> DataFrame:
 
 #: Passes in which clips are stored, read back and resampled: at most one pass's clips are on disk beside the PCM.
 ROUNDS = 4
+#: Level of zstd for PCM, which is four to seven times its clip before compression.
+PCM_LEVEL = "12"
 
 
 def store_media(rows: DataFrame, text: Column, key: str, rounds: int = ROUNDS) -> DataFrame:
@@ -265,7 +267,7 @@ def store_media(rows: DataFrame, text: Column, key: str, rounds: int = ROUNDS) -
     made = []
     for k in range(rounds):
         clips = stored(store_as_audio(rows.filter(share == k), text, key), "media-clips")
-        made.append(stored(audio_features(clips, pcm=True), "media-pcm", **{"parquet.compression.codec.zstd.level": "9"}))
+        made.append(stored(audio_features(clips, pcm=True), "media-pcm", **{"parquet.compression.codec.zstd.level": PCM_LEVEL}))
         discard(clips)
     out = made[0]
     for more in made[1:]:
