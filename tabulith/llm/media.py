@@ -254,7 +254,7 @@ def audio_features(clips: DataFrame, pcm: bool = False) -> DataFrame:
 
 
 #: Passes in which clips are stored, read back and resampled: at most one pass's clips are on disk beside the PCM.
-ROUNDS = 4
+ROUNDS = 8
 #: Level of zstd for PCM, which is four to seven times its clip before compression.
 PCM_LEVEL = "12"
 
