@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -109,8 +110,8 @@ def words_of(text: str) -> list[str]:
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(UPPER, LOWER)))
 
 
-def anchors(templates: list[tuple[str, str]]) -> str:
-    """A pattern that is in every text with a template shingle: of each shingle a word of five letters or more (in turn the one that is in most of the shingles left; among equals the longest), or else all its words."""
+def anchor_words(templates: list[tuple[str, str]]) -> tuple[list[str], list[tuple[str, ...]]]:
+    """Of each template shingle a word of five letters or more (in turn the one that is in most of the shingles left; among equals the longest); and the shingles that have only shorter ones."""
     runs = [tuple(w[i : i + WIDTH]) for _, t in templates for w in [words_of(t)] for i in range(len(w) - WIDTH + 1)]
     left = {r for r in runs if any(len(w) >= WIDTH for w in r)}
     whole = sorted(set(runs) - left)
@@ -120,9 +121,15 @@ def anchors(templates: list[tuple[str, str]]) -> str:
         best = max(counts, key=lambda w: (counts[w], len(w), w))
         chosen.append(best)
         left = {r for r in left if best not in r}
+    return sorted(chosen), whole
+
+
+def anchors(templates: list[tuple[str, str]]) -> str:
+    """A pattern that is in every text with a template shingle: one of the anchor words, or all words of a shingle without one."""
+    chosen, whole = anchor_words(templates)
     inside = WORD.removesuffix("+")
     outside = inside.replace("[^", "[", 1) + "+"
-    return f"(?<!{inside})(?:{'|'.join([*sorted(chosen), *(outside.join(r) for r in whole)])})(?!{inside})"
+    return f"(?<!{inside})(?:{'|'.join([*chosen, *(outside.join(r) for r in whole)])})(?!{inside})"
 
 
 def word_array(text: Column) -> Column:
@@ -152,14 +159,16 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
 
 
 def gate_of(text: Column, templates: list[tuple[str, str]]) -> Column:
-    """Whether a text may hold a template: cheap searches for the anchors' words first, then their pattern."""
-    pattern = anchors(templates)
-    terms = [max(re.findall("[a-z0-9]+", a), key=len) for a in pattern.split("(?:", 1)[1].rsplit(")(?!", 1)[0].split("|")]
-    low = F.lower(text)
-    found = F.lit(False)
-    for t in sorted(set(terms)):
-        found = found | F.contains(low, F.lit(t))
-    return F.when(found, F.translate(text, UPPER, LOWER).rlike(pattern)).otherwise(F.lit(False))
+    """Whether a text may hold a template: plain searches for the anchors' words first (all of them, of a shingle that has only short ones), then the pattern."""
+    chosen, whole = anchor_words(templates)
+
+    def any_anchor(low: Column) -> Column:
+        has = lambda w: F.contains(low, F.lit(w))
+        return reduce(lambda a, b: a | b, [*map(has, chosen), *(reduce(lambda a, b: a & b, map(has, sorted(set(r), key=len, reverse=True))) for r in whole)], F.lit(False))
+
+    # by way of an array, so that a text is lower-cased once and not for each word
+    found = F.element_at(F.transform(F.array(F.lower(text)), any_anchor), 1)
+    return F.when(found, F.translate(text, UPPER, LOWER).rlike(anchors(templates))).otherwise(F.lit(False))
 
 
 def best_stretch() -> Column:

@@ -291,6 +291,15 @@ def test_every_occurrence_of_a_notice(spark):
     assert got[2].licenses == got[2].occurrences == got[3].matches == []
 
 
+def test_every_template_shingle_passes_the_gate(spark):
+    from tabulith.llm.license_scan import TEMPLATES, gate_of, words_of
+
+    runs = sorted({" ".join(w[i : i + 5]) for _, t in TEMPLATES for w in [words_of(t)] for i in range(len(w) - 4)})
+    texts = [(i, f"x. {r.upper().replace(' ', ', ')}!") for i, r in enumerate(runs)] + [(-1, "no such thing"), (-2, None), (-3, "relicensed undercover")]
+    got = {r.doc_id for r in docs_of(spark, texts).filter(gate_of(F.col("text"), TEMPLATES)).collect()}
+    assert got == set(range(len(runs)))
+
+
 # --- 8: tokens ---
 
 
