@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tabulith.functions import grammar as g
 from tabulith.plans.graph import relation
+from tabulith.sources.documents import numbered
 
 SPACE = r"[ \t\n\x0B\f\r]"
 
@@ -174,10 +175,11 @@ def project_alarm(d, verdicts):
   SELECT {d.div('stream', '10')} AS project, count(*) AS files, max(n_accepted) = 0 AS alarm FROM {verdicts} GROUP BY {d.div('stream', '10')}"""
 
 
-@relation("scan_pages")
-def page_hash(d, pages):
-    """The first 16 hex digits of the SHA-1 of a page's text with white space collapsed."""
-    return f"SELECT doc_id, file, page, substring({d.sha1(f'trim({d.swap("text", SPACE + "+", " ")})')}, 1, 16) AS hash FROM {pages} WHERE text IS NOT NULL"
+@relation("documents")
+def page_hash(d, documents):
+    """The first 16 hex digits of the SHA-1 of a page's text with white space collapsed; made before pages are numbered, so that no text is shuffled."""
+    hashed = f"(SELECT doc_id, source, substring({d.sha1(f'trim({d.swap("text", SPACE + "+", " ")})')}, 1, 16) AS hash FROM {documents}) h"
+    return f"SELECT doc_id, file, page, hash FROM ({numbered(d, hashed, 'hash')}) p WHERE hash IS NOT NULL"
 
 
 @relation("page_hash")

@@ -10,15 +10,20 @@ from __future__ import annotations
 from tabulith.plans.graph import relation
 
 
-@relation("documents", name="scan_pages")
-def scan_pages(d, documents):
-    """A page a document: file, page (from 1, in the file), text, chars."""
+def numbered(d, documents: str, *columns: str) -> str:
+    """file, page (from 1, in the file), doc_id and columns, of rows with doc_id and source."""
     block = d.div("doc_id", "1000")
     return f"""
-  SELECT coalesce(source, '') || '-' || {d.string(block)} AS file, row_number() OVER (PARTITION BY source, {block} ORDER BY doc_id) AS page, doc_id, text, CAST(length(coalesce(text, '')) AS BIGINT) AS chars
+  SELECT coalesce(source, '') || '-' || {d.string(block)} AS file, row_number() OVER (PARTITION BY source, {block} ORDER BY doc_id) AS page, doc_id, {', '.join(columns)}
   FROM {documents}"""
 
 
+@relation("documents", name="scan_pages")
+def scan_pages(d, documents):
+    """A page a document: file, page, text, chars."""
+    return numbered(d, documents, "text", "CAST(length(coalesce(text, '')) AS BIGINT) AS chars")
+
+
 @relation("documents", name="lines_scan")
 def lines_scan(d, documents):
     """Lines of a document that are not blank, numbered from 1."""
