@@ -12,12 +12,20 @@ def set_headers(d, roles):
     text = "trim(text)"
     families = [(name, p, "") for name, p in g.FAMILIES] + [(g.WIDE_FAMILY[0], g.WIDE_FAMILY[1], "wide AND ")]
     case = lambda group: "CASE " + " ".join(f"WHEN {gate}{d.has(text, p)} THEN {d.cut(text, p, group)}" for _, p, gate in families) + " END"
+    family = f"CASE {' '.join(f"WHEN {gate}{d.has(text, p)} THEN '{name}'" for name, p, gate in families)} END"
+    announced = d.has("text", g.WIDE_COLUMN_HEADER) if d.name == "oracle" else f"upper(substring(text, 1, 3)) = 'SET' AND {d.has('text', g.WIDE_COLUMN_HEADER)}"
+    lines = f"(SELECT r.*, coalesce(w.wide, false) AS wide FROM {roles} r LEFT JOIN (SELECT stream, {d.any(announced)} AS wide FROM {roles} GROUP BY stream) w ON w.stream = r.stream) a"
+    named = f"""SELECT *, {family} AS family, {case(1)} AS set_id, {case(2)} AS tail
+    FROM {lines}
+    WHERE role = 'content'"""
+    if d.name == "spark":  # patterns for lines with a keyword only, and a line's family once
+        some = f"CASE WHEN wide OR {d.within('upper(text)', g.FAMILY_WORDS)} THEN {family} END"
+        part = lambda group: "CASE family " + " ".join(f"WHEN '{name}' THEN {d.cut(text, p, group)}" for name, p, _ in families) + " END"
+        named = f"SELECT *, {part(1)} AS set_id, {part(2)} AS tail FROM (SELECT *, {some} AS family FROM {lines} WHERE role = 'content') f"
     return f"""
   SELECT stream, page, line, anchor, text, x0, top, x1, bottom, family, set_id, {d.swap('trim(tail)', g.TRAILER_JOINER, '')} AS trailer
   FROM (
-    SELECT *, CASE {' '.join(f"WHEN {gate}{d.has(text, p)} THEN '{name}'" for name, p, gate in families)} END AS family, {case(1)} AS set_id, {case(2)} AS tail
-    FROM (SELECT r.*, coalesce(w.wide, false) AS wide FROM {roles} r LEFT JOIN (SELECT stream, {d.any(d.has('text', g.WIDE_COLUMN_HEADER))} AS wide FROM {roles} GROUP BY stream) w ON w.stream = r.stream) a
-    WHERE role = 'content') q"""
+    {named}) q"""
 
 
 @relation("set_headers")

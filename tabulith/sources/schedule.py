@@ -66,6 +66,14 @@ def schedule_lines(d, orders, lineitem, rows):
     legend = d.explode_from(f"(SELECT *, {listed} AS parts FROM (SELECT DISTINCT {stream} AS stream FROM {orders}) s WHERE stream % 3 = 0) s", "parts", "text", "place")
     many = d.explode_from(f"(SELECT {stream} AS stream, o_orderkey, {d.range('1', '45')} AS parts FROM {orders} WHERE o_orderkey % 149 = 9) m", "parts", "part", "place")
     tail = "coalesce(' ' || finish, '') || coalesce(' ' || mfr, '')"
+    row = f"qty || unit || ' ' || description || ' ' || catalog || CASE WHEN dropped THEN '' ELSE CASE WHEN twice THEN coalesce(' ' || finish, '') ELSE '' END || {tail} END"
+    more, has_more = f"CASE WHEN dropped THEN ltrim({tail}) ELSE '316' END", "CASE WHEN dropped THEN finish IS NOT NULL AND mfr IS NOT NULL ELSE finish = '630-' AND mfr IS NULL END"
+    components = f"""SELECT stream, o_orderkey, 10, CAST(rn AS INT), 0, {row}, l_partkey FROM {rows}
+  UNION ALL
+  SELECT stream, o_orderkey, 10, CAST(rn AS INT), 1, {more}, l_partkey FROM {rows}
+  WHERE {has_more}"""
+    if d.name == "spark":  # both lines of a row at once, so that rows are joined and numbered once
+        components = f"SELECT stream, o_orderkey, 10, CAST(rn AS INT), sub, CASE sub WHEN 0 THEN {row} ELSE {more} END, l_partkey FROM {rows} LATERAL VIEW explode(CASE WHEN {has_more} THEN array(0, 1) ELSE array(0) END) t_sub AS sub"
     return f"""
   SELECT {stream} AS stream, o_orderkey, 0 AS section, 0 AS rn, 0 AS sub,
     'Hardware Group No. ' || CASE WHEN o_orderkey % 43 = 7 THEN '7' ELSE {key} END || CASE WHEN n IS NULL THEN ' - Not Used' WHEN o_orderkey % 41 = 0 THEN ': (Door' ELSE '' END AS text, CAST(NULL AS BIGINT) AS partkey
@@ -80,10 +88,7 @@ def schedule_lines(d, orders, lineitem, rows):
   UNION ALL {extra(8, "'PROVIDE EACH SINGLE DOOR WITH THE FOLLOWING:'", 'o_orderkey % 7 = 2')}
   UNION ALL {extra(9, "'Properties: Rated ' || " + d.string('o_orderkey % 90') + " || ' MIN'", 'o_orderkey % 10 = 3')}
   UNION ALL
-  SELECT stream, o_orderkey, 10, CAST(rn AS INT), 0, qty || unit || ' ' || description || ' ' || catalog || CASE WHEN dropped THEN '' ELSE CASE WHEN twice THEN coalesce(' ' || finish, '') ELSE '' END || {tail} END, l_partkey FROM {rows}
-  UNION ALL
-  SELECT stream, o_orderkey, 10, CAST(rn AS INT), 1, CASE WHEN dropped THEN ltrim({tail}) ELSE '316' END, l_partkey FROM {rows}
-  WHERE CASE WHEN dropped THEN finish IS NOT NULL AND mfr IS NOT NULL ELSE finish = '630-' AND mfr IS NULL END
+  {components}
   UNION ALL {extra(11, "'1 GASKETING BY ALUMINUM DOOR'", 'o_orderkey % 12 = 5')}
   UNION ALL SELECT {stream}, o_orderkey, 11, 1, 0, 'RM ADJ', CAST(NULL AS BIGINT) FROM {orders} WHERE o_orderkey % 12 = 5
   UNION ALL {extra(12, "'NOTE: verify with owner'", 'o_orderkey % 6 = 4')}
@@ -108,15 +113,21 @@ def lines(d, placed):
     """The line stream: stream, page, line, anchor, text, bbox as x0, top, x1, bottom, and struck (share, or null)."""
     struck = "CASE WHEN o_orderkey % 97 = 0 AND section = 10 THEN 1.0D WHEN o_orderkey % 89 = 0 AND section = 10 THEN 0.5D END"
     struck = struck if d.name == "spark" else struck.replace("1.0D", "CAST(1.0 AS DOUBLE)").replace("0.5D", "CAST(0.5 AS DOUBLE)")
+    header, columns, footer = f"'DOOR HARDWARE ' || {d.string('stream % 3 + 1')} || ' SUBMITTAL'", f"'{' '.join(HEADER)}'", f"'Door Hardware 087100 - ' || {d.string('page')}"
     pages = f"(SELECT stream, page FROM {placed} GROUP BY stream, page) p"
+    every = f"""
+    SELECT stream, page, line, text, {struck} AS struck FROM {placed}
+    UNION ALL SELECT stream, page, 1, {header}, NULL FROM {pages}
+    UNION ALL SELECT stream, page, 2, {columns}, NULL FROM {pages}
+    UNION ALL SELECT stream, page, 44, {footer}, NULL FROM {pages}"""
+    if d.name == "spark":  # a page's first line brings its running lines, so that lines are placed once
+        every = f"""
+    SELECT stream, page, at AS line, CASE at WHEN 1 THEN {header} WHEN 2 THEN {columns} WHEN 44 THEN {footer} ELSE text END AS text, CASE WHEN at = line THEN {struck} END AS struck
+    FROM {placed} LATERAL VIEW explode(CASE WHEN line = 3 THEN array(line, 1, 2, 44) ELSE array(line) END) t_at AS at"""
     return f"""
   SELECT CAST(stream AS BIGINT) AS stream, CAST(page AS BIGINT) AS page, CAST(line AS BIGINT) AS line, {d.anchor('page', 'line')} AS anchor, text,
     CAST(72 AS DOUBLE) AS x0, CAST(20 + 16 * line AS DOUBLE) AS top, CAST(72 + 5 * length(text) AS DOUBLE) AS x1, CAST(32 + 16 * line AS DOUBLE) AS bottom, struck
-  FROM (
-    SELECT stream, page, line, text, {struck} AS struck FROM {placed}
-    UNION ALL SELECT stream, page, 1, 'DOOR HARDWARE ' || {d.string('stream % 3 + 1')} || ' SUBMITTAL', NULL FROM {pages}
-    UNION ALL SELECT stream, page, 2, '{" ".join(HEADER)}', NULL FROM {pages}
-    UNION ALL SELECT stream, page, 44, 'Door Hardware 087100 - ' || {d.string('page')}, NULL FROM {pages}) q"""
+  FROM ({every}) q"""
 
 
 @relation("placed_lines", "schedule_rows", query=False)
