@@ -15,6 +15,8 @@ def set_headers(d, roles):
     family = f"CASE {' '.join(f"WHEN {gate}{d.has(text, p)} THEN '{name}'" for name, p, gate in families)} END"
     announced = d.has("text", g.WIDE_COLUMN_HEADER) if d.name == "oracle" else f"upper(substring(text, 1, 3)) = 'SET' AND {d.has('text', g.WIDE_COLUMN_HEADER)}"
     lines = f"(SELECT r.*, coalesce(w.wide, false) AS wide FROM {roles} r LEFT JOIN (SELECT stream, {d.any(announced)} AS wide FROM {roles} GROUP BY stream) w ON w.stream = r.stream) a"
+    if d.name == "spark":  # in the order of the cut's window, so that lines are read and sorted once
+        lines = f"(SELECT *, coalesce(bool_or({announced}) OVER (PARTITION BY stream ORDER BY page, line ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), false) AS wide FROM {roles}) a"
     named = f"""SELECT *, {family} AS family, {case(1)} AS set_id, {case(2)} AS tail
     FROM {lines}
     WHERE role = 'content'"""

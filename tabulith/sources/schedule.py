@@ -17,6 +17,9 @@ COLUMNS = {"qty": 72, "unit": 90, "description": 120, "catalog": 270, "finish":
 #: The words of the column header, which every page has as its second line, and their edges.
 HEADER = {"QTY": COLUMNS["qty"], "DESCRIPTION": COLUMNS["description"], "CATALOG": COLUMNS["catalog"], "NUMBER": COLUMNS["catalog"] + 40, "FINISH": COLUMNS["finish"], "MFR": COLUMNS["mfr"]}
 
+#: Columns of schedule_rows that words are made of.
+CELLS = ["l_partkey", "qty", "unit", "catalog", "finish", "mfr", "description", "dropped"]
+
 LEGEND = [
     "Section 087100 general notes for the work of this book",
     "Manufacturers:",
@@ -43,6 +46,9 @@ LEGEND = [
 def schedule_rows(d, orders, lineitem, part):
     finish = d.list(*map(d.text, ["626", "630", "32D", "US26D"]))
     maker = d.list(*map(d.text, ["IVE", "SCH", "LCN", "VON", "ZER"]))
+    joined = f"{orders} JOIN {lineitem} ON o_orderkey = l_orderkey JOIN {part} ON l_partkey = p_partkey"
+    if d.name == "spark":  # the order's key last, by which rows are then numbered
+        joined = f"{lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {orders} ON o_orderkey = l_orderkey"
     return f"""
   SELECT {d.div('o_custkey', str(CUSTOMERS))} AS stream, o_orderkey,
     row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_shipdate) AS rn,
@@ -54,14 +60,17 @@ def schedule_rows(d, orders, lineitem, part):
     CASE WHEN l_partkey % 7 = 0 THEN NULL WHEN l_partkey % 17 = 0 THEN '630-' ELSE {d.at(finish, 'l_suppkey % 4 + 1')} END AS finish,
     CASE WHEN l_partkey % 11 = 0 THEN NULL WHEN l_partkey % 19 = 0 THEN 'Q' || {d.string('l_partkey')} ELSE {d.at(maker, 'l_suppkey % 5 + 1')} END AS mfr,
     l_partkey % 13 = 0 OR ({d.div('o_custkey', str(CUSTOMERS))} % 10 = 9 AND l_partkey % 4 <> 0) AS dropped, l_partkey % 23 = 0 AS twice
-  FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey JOIN {part} ON l_partkey = p_partkey"""
+  FROM {joined}"""
 
 
 @relation("orders", "lineitem", "schedule_rows", query=False)
 def schedule_lines(d, orders, lineitem, rows):
     key = d.string("o_orderkey")
     stream = d.div("o_custkey", str(CUSTOMERS))
-    extra = lambda section, text, test: f"SELECT {stream} AS stream, o_orderkey, {section} AS section, 0 AS rn, 0 AS sub, {text} AS text, CAST(NULL AS BIGINT) AS partkey FROM {orders} WHERE {test}"
+    no_cells = cells = ""
+    if d.name == "spark":  # a row's first line brings its cells, so that words need no join
+        no_cells, cells = ", NULL", f", CASE sub WHEN 0 THEN {d.record(**{k: k for k in CELLS})} END"
+    extra = lambda section, text, test: f"SELECT {stream} AS stream, o_orderkey, {section} AS section, 0 AS rn, 0 AS sub, {text} AS text, CAST(NULL AS BIGINT) AS partkey{no_cells} FROM {orders} WHERE {test}"
     listed = d.list(*map(d.text, LEGEND))
     legend = d.explode_from(f"(SELECT *, {listed} AS parts FROM (SELECT DISTINCT {stream} AS stream FROM {orders}) s WHERE stream % 3 = 0) s", "parts", "text", "place")
     many = d.explode_from(f"(SELECT {stream} AS stream, o_orderkey, {d.range('1', '45')} AS parts FROM {orders} WHERE o_orderkey % 149 = 9) m", "parts", "part", "place")
@@ -73,10 +82,10 @@ def schedule_lines(d, orders, lineitem, rows):
   SELECT stream, o_orderkey, 10, CAST(rn AS INT), 1, {more}, l_partkey FROM {rows}
   WHERE {has_more}"""
     if d.name == "spark":  # both lines of a row at once, so that rows are joined and numbered once
-        components = f"SELECT stream, o_orderkey, 10, CAST(rn AS INT), sub, CASE sub WHEN 0 THEN {row} ELSE {more} END, l_partkey FROM {rows} LATERAL VIEW explode(CASE WHEN {has_more} THEN array(0, 1) ELSE array(0) END) t_sub AS sub"
+        components = f"SELECT stream, o_orderkey, 10, CAST(rn AS INT), sub, CASE sub WHEN 0 THEN {row} ELSE {more} END, l_partkey{cells} FROM {rows} LATERAL VIEW explode(CASE WHEN {has_more} THEN array(0, 1) ELSE array(0) END) t_sub AS sub"
     return f"""
   SELECT {stream} AS stream, o_orderkey, 0 AS section, 0 AS rn, 0 AS sub,
-    'Hardware Group No. ' || CASE WHEN o_orderkey % 43 = 7 THEN '7' ELSE {key} END || CASE WHEN n IS NULL THEN ' - Not Used' WHEN o_orderkey % 41 = 0 THEN ': (Door' ELSE '' END AS text, CAST(NULL AS BIGINT) AS partkey
+    'Hardware Group No. ' || CASE WHEN o_orderkey % 43 = 7 THEN '7' ELSE {key} END || CASE WHEN n IS NULL THEN ' - Not Used' WHEN o_orderkey % 41 = 0 THEN ': (Door' ELSE '' END AS text, CAST(NULL AS BIGINT) AS partkey{no_cells and no_cells + ' AS cells'}
   FROM {orders} LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM {lineitem} GROUP BY l_orderkey) c ON o_orderkey = l_orderkey
   UNION ALL {extra(1, "'U' || " + key + " || ')'", 'o_orderkey % 41 = 0')}
   UNION ALL {extra(2, "'Description: Opening type ' || " + d.string('o_orderkey % 9'), 'o_orderkey % 3 = 0')}
@@ -90,14 +99,14 @@ def schedule_lines(d, orders, lineitem, rows):
   UNION ALL
   {components}
   UNION ALL {extra(11, "'1 GASKETING BY ALUMINUM DOOR'", 'o_orderkey % 12 = 5')}
-  UNION ALL SELECT {stream}, o_orderkey, 11, 1, 0, 'RM ADJ', CAST(NULL AS BIGINT) FROM {orders} WHERE o_orderkey % 12 = 5
+  UNION ALL SELECT {stream}, o_orderkey, 11, 1, 0, 'RM ADJ', CAST(NULL AS BIGINT){no_cells} FROM {orders} WHERE o_orderkey % 12 = 5
   UNION ALL {extra(12, "'NOTE: verify with owner'", 'o_orderkey % 6 = 4')}
   UNION ALL {extra(13, "'coordinate all work with the electrical trade'", 'o_orderkey % 6 = 4')}
   UNION ALL {extra(14, "'OPERATION: door normally closed and locked'", 'o_orderkey % 5 = 0')}
   UNION ALL {extra(15, "'2 free egress at all times'", 'o_orderkey % 5 = 0')}
-  UNION ALL SELECT stream, o_orderkey, 14, CAST(part AS INT), 1, 'verify opening ' || {d.string('part')} || ' in the field with care', CAST(NULL AS BIGINT) FROM {many}
-  UNION ALL SELECT {stream}, 900000000000, 17, 0, 0, 'Hardware Group No. 9999', CAST(NULL AS BIGINT) FROM {orders} WHERE {stream} % 4 = 2 GROUP BY {stream}
-  UNION ALL SELECT stream, -1, place, 0, 0, text, CAST(NULL AS BIGINT) FROM {legend}
+  UNION ALL SELECT stream, o_orderkey, 14, CAST(part AS INT), 1, 'verify opening ' || {d.string('part')} || ' in the field with care', CAST(NULL AS BIGINT){no_cells} FROM {many}
+  UNION ALL SELECT {stream}, 900000000000, 17, 0, 0, 'Hardware Group No. 9999', CAST(NULL AS BIGINT){no_cells} FROM {orders} WHERE {stream} % 4 = 2 GROUP BY {stream}
+  UNION ALL SELECT stream, -1, place, 0, 0, text, CAST(NULL AS BIGINT){no_cells} FROM {legend}
   UNION ALL {extra(16, "'PART ' || " + d.string('o_orderkey % 9 + 1') + " || ' -'", 'o_orderkey % 31 = 3')}"""
 
 
@@ -130,8 +139,8 @@ def lines(d, placed):
   FROM ({every}) q"""
 
 
-@relation("placed_lines", "schedule_rows", query=False)
-def words(d, placed, rows):
+@relation("placed_lines", "schedule_rows", query=False, spark=("lines",))
+def words(d, placed, rows, lines):
     """Words of component rows and of column headers with their edges; word tells the words of a page apart. A few rows are shifted, every fifth stream is ragged, and every fifth page's header stands a point to the right."""
     kinds = [
         (COLUMNS["qty"], "qty"),
@@ -141,14 +150,20 @@ def words(d, placed, rows):
         (COLUMNS["mfr"], "CASE WHEN NOT dropped THEN mfr END"),
         (COLUMNS["description"], d.at(d.split("description", " "), "1")),
     ]
+    rows_placed = f"""p.stream, p.page, p.line, r.l_partkey, r.qty, r.unit, r.catalog, r.finish, r.mfr, r.description, r.dropped, {d.list(*map(str, range(len(kinds))))} AS parts
+      FROM {rows} r JOIN {placed} p ON p.stream = r.stream AND p.o_orderkey = r.o_orderkey AND p.rn = r.rn AND p.section = 10 AND p.sub = 0"""
+    if d.name == "spark" and (placed, rows) == ("placed_lines", "schedule_rows"):  # not given, so the rows' cells are with the lines
+        rows_placed = f"stream, page, line, cells.*, {d.list(*map(str, range(len(kinds))))} AS parts FROM {placed} WHERE section = 10 AND sub = 0"
     choose = lambda k: "CASE kind " + " ".join(f"WHEN {i} THEN {x[k]}" for i, x in enumerate(kinds)) + " END"
     cell = d.explode_from(
-        f"""(SELECT p.stream, p.page, p.line, r.l_partkey, r.qty, r.unit, r.catalog, r.finish, r.mfr, r.description, r.dropped, {d.list(*map(str, range(len(kinds))))} AS parts
-      FROM {rows} r JOIN {placed} p ON p.stream = r.stream AND p.o_orderkey = r.o_orderkey AND p.rn = r.rn AND p.section = 10 AND p.sub = 0) c""",
+        f"(SELECT {rows_placed}) c",
         "parts", "kind", "place",
     )
     edges = "CASE text " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HEADER.items()) + " END"
-    header = d.explode_from(f"(SELECT stream, page, {d.list(*map(d.text, HEADER))} AS parts FROM {placed} GROUP BY stream, page) h", "parts", "text", "place")
+    pages = f"{placed} GROUP BY stream, page"
+    if d.name == "spark" and placed == "placed_lines":  # not given, so every page has its column header among the lines
+        pages = f"{lines} WHERE line = 2"
+    header = d.explode_from(f"(SELECT stream, page, {d.list(*map(d.text, HEADER))} AS parts FROM {pages}) h", "parts", "text", "place")
     return f"""
   SELECT stream, page, line, CAST(word AS BIGINT) AS word, text, x0, x0 + CAST(5 * length(text) AS DOUBLE) AS x1, top, bottom FROM (
   SELECT CAST(stream AS BIGINT) AS stream, CAST(page AS BIGINT) AS page, CAST(line AS BIGINT) AS line, line * 16 + kind AS word, text,

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabulith.plans import graph
 from tabulith.plans.dialect import SPARK
 from tabulith.plans.graph import TABLES, apply, upstream
+from tabulith.plans.registry import QUERIES
+from tabulith.sources import sinks
 
 from tests.test_operators import lines
 
@@ -48,3 +51,41 @@ def test_words_that_spare_a_pattern_are_in_what_it_finds(spark):
     texts = ["hw-12 x", "Set #1", "HEADING: 4", "hdw 7A", "Hardware Group No. ABC", "qty finish notes", "qty number no", "QTY NUMBER NO", "part 3 -", "ſet #1", "no words here"]
     got = [r.role for r in apply(spark, "line_roles", lines=lines(spark, texts)).sort("line").collect()]
     assert got == ["content"] * 5 + ["col_hdr"] * 3 + ["noise"] + ["content"] * 2
+
+
+def test_borders_keep_streams_together(spark, sf_dir):
+    """Rows and fragments of a stream meet without a shuffle, and the session's settings stay as they were."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    graph.forget()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "hashpartitioning" not in QUERIES["repaired_rows"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_discarded_borders_leave_the_catalog(spark):
+    table = sinks.stored_by(spark.range(10), "of_ids", "id", 2)
+    assert table.count() == 10 and spark.catalog.tableExists(table._stored_as)
+    sinks.discard(table)
+    assert not spark.catalog.tableExists(table._stored_as)
+
+
+def test_a_row_brings_its_own_hint(spark):
+    """The baseline joins rows with the fragments they took, not with themselves."""
+    rows = spark.createDataFrame([(1, 1, "p1-L04", 1.0, "EA", False, "IVE", "626", ["HINGE", "5BB1"])], "stream bigint, seq bigint, anchor string, qty double, unit string, by_others boolean, mfr string, finish string, rest_toks array<string>")
+    stitches = spark.createDataFrame([], "stream bigint, seq bigint, anchor string, row_anchor string, how string, finish string, mfr string")
+    got = apply(spark, "baseline_components", rule_rows=rows, stitch_tails=stitches)
+    assert [(r.description, r.catalog_number) for r in got.collect()] == [("HINGE", "5BB1")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2
+
+
+def test_words_come_with_their_lines(spark):
+    """Words are a row's cells where its line was placed: rows are numbered once and joined with nothing."""
+    assert plan(spark, "words").count("Window [row_number()") <= 4  # as often as lines are placed: for rows and for headers
+
+
+def test_equal_texts_are_strict(spark):
+    answers = spark.createDataFrame([(1, 1, "a", "X 1", "X 1"), (1, 1, "b", "1 X", "X 1"), (1, 1, "c", "x, 1", "X 1"), (1, 1, "d", "Y", "X 1"), (1, 1, "e", "", "")], "stream bigint, seq bigint, anchor string, answer string, source string")
+    assert [r.level for r in apply(spark, "conservation", provider_answers=answers).sort("anchor").collect()] == ["strict", "strict", "normalized", "failed", "strict"]
