@@ -30,21 +30,47 @@ def set_headers(d, roles):
     {named}) q"""
 
 
-@relation("set_headers")
-def chunk_blocks(d, headers):
+def numbered_headers(d, roles: str, order: str, ends: str) -> str:
+    """set_headers of Spark's own line_roles with heads and last_event, by one window: what a dotted header changes is counted beside the rest, and holds where the stream announces it."""
+    whole = order.replace("ROWS UNBOUNDED PRECEDING", "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
+    name, (wide, _) = g.WIDE_FAMILY
+    family = f"CASE {' '.join(f"WHEN {d.has('trim(text)', p)} THEN '{n}'" for n, p in g.FAMILIES)} END"
+    part = lambda k: "CASE family " + " ".join(f"WHEN '{n}' THEN {d.cut('trim(text)', p, k)}" for n, p in [*g.FAMILIES, g.WIDE_FAMILY]) + " END"
+    event = lambda opens: d.last(f"CASE WHEN {opens} THEN 'open' WHEN ends THEN 'close' END", order)
+    return f"""
+      SELECT *, {d.swap(f'trim({part(2)})', g.TRAILER_JOINER, '')} AS trailer, {part(1)} AS set_id
+      FROM (
+        SELECT stream, page, line, anchor, text, x0, top, x1, bottom, coalesce(named, CASE WHEN wide AND dotted THEN '{name}' END) AS family,
+          n_named + CASE WHEN wide THEN n_dotted ELSE 0 END AS heads, CASE WHEN wide THEN wide_event ELSE event END AS last_event
+        FROM (
+          SELECT *, coalesce(bool_or(announced) OVER ({whole}), false) AS wide, CAST(sum(CASE WHEN named IS NOT NULL THEN 1 ELSE 0 END) OVER ({order}) AS BIGINT) AS n_named,
+            CAST(sum(CASE WHEN named IS NULL AND dotted THEN 1 ELSE 0 END) OVER ({order}) AS BIGINT) AS n_dotted, {event('named IS NOT NULL')} AS event, {event('named IS NOT NULL OR dotted')} AS wide_event
+          FROM (
+            SELECT stream, page, line, anchor, text, x0, top, x1, bottom, role = 'content' AS content, upper(substring(text, 1, 3)) = 'SET' AND {d.has('text', g.WIDE_COLUMN_HEADER)} AS announced,
+              CASE WHEN role = 'content' AND {d.within('upper(text)', g.FAMILY_WORDS)} THEN {family} END AS named,
+              coalesce(role = 'content' AND contains(substring(trim(text), 2, 2), '.') AND {d.has('trim(text)', wide)}, false) AS dotted, role = 'content' AND {ends} AS ends
+            FROM {roles}) r) w
+        WHERE content) f"""
+
+
+@relation("set_headers", spark=("line_roles",), spared=("set_headers",))
+def chunk_blocks(d, headers, roles):
     """Every content line with its part (preamble, block, postamble) and its block's number in the stream."""
     order = "PARTITION BY stream ORDER BY page, line ROWS UNBOUNDED PRECEDING"
     ends = d.has("trim(text)", g.TERMINATOR)
     if d.name == "spark":  # the pattern for lines only that have its word
         ends = f"({d.within('upper(text)', ['SECTION'])} AND {ends})"
+    numbered = f"""
+    SELECT *, CAST(sum(CASE WHEN family IS NOT NULL THEN 1 ELSE 0 END) OVER ({order}) AS BIGINT) AS heads,
+      {d.last(f"CASE WHEN family IS NOT NULL THEN 'open' WHEN {ends} THEN 'close' END", order)} AS last_event
+    FROM {headers}"""
+    if d.name == "spark" and headers == "set_headers":  # not given, so one window does for headers and blocks
+        numbered = numbered_headers(d, roles, order, ends)
     return f"""
   SELECT stream, page, line, anchor, text, x0, top, x1, bottom, family, set_id, trailer,
     CASE WHEN heads = 0 THEN 'preamble' WHEN last_event = 'close' THEN 'postamble' ELSE 'block' END AS part,
     CASE WHEN heads > 0 AND last_event = 'open' THEN heads END AS seq
-  FROM (
-    SELECT *, CAST(sum(CASE WHEN family IS NOT NULL THEN 1 ELSE 0 END) OVER ({order}) AS BIGINT) AS heads,
-      {d.last(f"CASE WHEN family IS NOT NULL THEN 'open' WHEN {ends} THEN 'close' END", order)} AS last_event
-    FROM {headers}) q"""
+  FROM ({numbered}) q"""
 
 
 @relation("chunk_blocks")
