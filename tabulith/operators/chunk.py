@@ -36,6 +36,7 @@ def numbered_headers(d, roles: str, order: str, ends: str) -> str:
     name, (wide, _) = g.WIDE_FAMILY
     family = f"CASE {' '.join(f"WHEN {d.has('trim(text)', p)} THEN '{n}'" for n, p in g.FAMILIES)} END"
     part = lambda k: "CASE family " + " ".join(f"WHEN '{n}' THEN {d.cut('trim(text)', p, k)}" for n, p in [*g.FAMILIES, g.WIDE_FAMILY]) + " END"
+    digit = "(trim(text) >= '0' AND trim(text) < ':')"  # a header that begins with a digit is of the family that names a group within its line
     event = lambda opens: d.last(f"CASE WHEN {opens} THEN 'open' WHEN ends THEN 'close' END", order)
     return f"""
       SELECT *, {d.swap(f'trim({part(2)})', g.TRAILER_JOINER, '')} AS trailer, {part(1)} AS set_id
@@ -47,7 +48,7 @@ def numbered_headers(d, roles: str, order: str, ends: str) -> str:
             CAST(sum(CASE WHEN named IS NULL AND dotted THEN 1 ELSE 0 END) OVER ({order}) AS BIGINT) AS n_dotted, {event('named IS NOT NULL')} AS event, {event('named IS NOT NULL OR dotted')} AS wide_event
           FROM (
             SELECT stream, page, line, anchor, text, x0, top, x1, bottom, role = 'content' AS content, upper(substring(text, 1, 3)) = 'SET' AND {d.has('text', g.WIDE_COLUMN_HEADER)} AS announced,
-              CASE WHEN role = 'content' AND {d.within('upper(text)', g.FAMILY_WORDS)} THEN {family} END AS named,
+              CASE WHEN role = 'content' AND (NOT {digit} OR contains(upper(text), 'GROUP')) AND {d.within('upper(text)', g.FAMILY_WORDS)} THEN {family} END AS named,
               coalesce(role = 'content' AND contains(substring(trim(text), 2, 2), '.') AND {d.has('trim(text)', wide)}, false) AS dotted, role = 'content' AND {ends} AS ends
             FROM {roles}) r) w
         WHERE content) f"""
